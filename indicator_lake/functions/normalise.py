@@ -12,6 +12,7 @@ WHITE_SPACE = (
 )
 CODE_WIDTH = 7
 CODE_PATTERN = r"^[0-9]{7}\z"
+_INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
 
 # Tokens read as true and as false.
 TRUE_TOKENS = ("1", "sim", "s", "true")
@@ -19,8 +20,14 @@ FALSE_TOKENS = ("0", "nao", "não", "n", "false")
 
 
 def trim_ws(text: Column, characters: str = WHITE_SPACE) -> Column:
-    """Strip every kind of white space from both ends (plain ``trim`` strips blanks only)."""
-    return F.trim(text, F.lit(characters))
+    """Strip every kind of white space from both ends (plain ``trim`` strips blanks only).
+
+    Stripping a character set is slow, so it runs only where, after the blanks, an end is not a
+    visible ASCII character.
+    """
+    bare = F.trim(text)
+    done = F.ascii(bare).between(33, 126) & F.ascii(F.right(bare, F.lit(1))).between(33, 126)
+    return F.when(done, bare).otherwise(F.trim(bare, F.lit(characters)))
 
 
 def _is_fractional(df: DataFrame, name: str) -> bool:
@@ -32,14 +39,16 @@ def safe_long(df: DataFrame, name: str) -> Column:
     """Integer or NULL. Fractional numbers round half away from zero; '1.5' as text is NULL."""
     value = F.col(name)
     if _is_fractional(df, name):
-        value = F.round(value)
+        return F.round(value).try_cast("bigint")
+    if dict(df.dtypes)[name] == "string":
+        # A failing cast costs far more than this test.
+        return F.when(value.rlike(_INTEGER), value.try_cast("bigint"))
     return value.try_cast("bigint")
 
 
 def safe_double(df: DataFrame, name: str) -> Column:
     """Double or NULL; NaN is NULL because every comparison with it would be true."""
-    value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
 
 
 def safe_text(df: DataFrame, name: str) -> Column:

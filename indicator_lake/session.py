@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Settings that only a new session can take. Call sites of column expressions are not recorded:
+# recording them takes longer than building the expressions.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -31,7 +34,7 @@ def build_session(app_name: str = "indicator-lake", master: str | None = None, *
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return apply_settings(builder.getOrCreate())
 

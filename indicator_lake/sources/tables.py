@@ -32,6 +32,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Spread a table stored in fewer splits than there are cores by a unique ``key``.
+
+    A table with enough splits, as any large one has, is returned unchanged.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+
+
 def write_clustered(
     df: DataFrame,
     path: str,

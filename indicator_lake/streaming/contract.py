@@ -58,19 +58,25 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def _kind(name: str) -> Column:
-    """JSON type of a field: STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, .. or NULL."""
-    return F.coalesce(F.schema_of_variant(F.col("_body")[name]), F.lit("VOID"))
+    """JSON type of a field (STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, ..); VOID when absent."""
+    return F.col(f"_kind_{name}")
+
+
+def _raw(name: str) -> Column:
+    """A scalar field as text."""
+    return F.col(f"_raw_{name}")
 
 
 def _text(name: str) -> Column:
-    return F.when(_kind(name) == "STRING", F.col("_body")[name].try_cast("string"))
+    return F.when(_kind(name) == "STRING", _raw(name))
 
 
 def _number(name: str) -> Column:
     """A JSON number, true/false as 1/0, or a number written as text."""
     kind = _kind(name)
-    numeric = kind.isin(*_INTEGERS, "FLOAT", "DOUBLE", "BOOLEAN") | kind.startswith("DECIMAL")
-    return F.when(numeric | (kind == "STRING"), F.col("_body")[name].try_cast("double"))
+    numeric = kind.isin("STRING", *_INTEGERS, "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
+    flag = F.when(kind == "BOOLEAN", _raw(name).try_cast("boolean").cast("double"))
+    return F.when(numeric, _raw(name).try_cast("double")).otherwise(flag)
 
 
 def _instant(name: str) -> Column:
@@ -88,19 +94,24 @@ def _outside(value: Column, bounds: tuple[float, float]) -> Column:
 
 def _not_text(name: str) -> Column:
     """TRUE when present with anything but text."""
-    present = F.array_contains(F.map_keys("_body"), name)
+    present = F.array_contains(F.col("_keys"), name)
     return F.coalesce(present, F.lit(False)) & (_kind(name) != "STRING")
 
 
 def typed(parsed: DataFrame) -> DataFrame:
     """One ``_<field>`` column of the field's type per field, and what the rules ask of the body.
 
-    The columns come out of a generator, so filters on the rules stay above it and a body is
-    parsed once per message instead of once per use.
+    Type and text of a field are taken from the body once. The columns come out of a generator,
+    so filters on the rules stay above it instead of repeating the parsing for every use.
     """
+    found = {}
+    for name in FIELDS:
+        found[f"_kind_{name}"] = F.coalesce(F.schema_of_variant(F.col("_body")[name]), F.lit("VOID"))
+        found[f"_raw_{name}"] = F.col("_body")[name].try_cast("string")
+    parsed = parsed.withColumns({**found, "_keys": F.map_keys("_body")})
     columns = {
         "_is_object": F.col("_body").isNotNull(),
-        "_extra_field": F.size(F.array_except(F.map_keys("_body"), F.array(*map(F.lit, FIELDS)))) > 0,
+        "_extra_field": F.size(F.array_except(F.col("_keys"), F.array(*map(F.lit, FIELDS)))) > 0,
         "_id_evento": _text("id_evento"),
         "_id_municipio": _text("id_municipio"),
         "_sigla_uf": F.upper(trim_ws(_text("sigla_uf"), _STRIPPED)),

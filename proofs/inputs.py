@@ -14,9 +14,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from indicator_lake.operators.reshape import TARGET_YEARS
+from indicator_lake.sources.tables import spread
 from indicator_lake.streaming.contract import STATE_CODES
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Tables worth spreading when one file holds them whole, and the key to do it by.
+FACTS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 STATES = "".join(STATE_CODES)
 AS_OF = "2024-01-25 00:00:00"
 PROCESSED_AT = "2024-03-01 00:00:00"
@@ -196,7 +199,8 @@ class Inputs:
         return self._built[name]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(df, FACTS[name]) if name in FACTS else df
 
     def _derive(self, name: str) -> DataFrame:
         frames = {}

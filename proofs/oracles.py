@@ -461,7 +461,7 @@ FINAL = {
     "d3_ranking": "SELECT ranking_brasil, ranking_uf, nome_municipio, sigla_uf, status_meta, "
     + _names("taxa_alfabetizacao", "meta_alfabetizacao")
     + " FROM ranked ORDER BY ranking_brasil",
-    "d4_evolution": "SELECT ano, sigla_uf, round(avg(taxa_alfabetizacao), 7) AS taxa_media, "
+    "d4_evolution": "SELECT ano, sigla_uf, round(avg(taxa_alfabetizacao), 9) AS taxa_media, "
     "count(DISTINCT id_municipio) AS municipios FROM series GROUP BY 1, 2 ORDER BY 1, 2",
     "d5_event_count": "SELECT count(*) AS eventos_validos FROM valid_events",
     "full_refresh_counts": _refreshed(),

@@ -86,13 +86,20 @@ class Lake:
     def indicator(self) -> DataFrame:
         return gold.indicador_municipio(self.results, self.targets, self.dim, self.events, stamp(PROCESSED_AT))
 
+    @cached_property
+    def stored_indicator(self) -> DataFrame:
+        """The indicator as a written table, which is what its views read."""
+        path = self.folder("indicator")
+        tables.write_clustered(self.indicator, path, ["ano_meta", "sigla_uf", "id_municipio", "rede"])
+        return tables.read_table(self.spark, path)
+
     @cached_property
     def current(self) -> DataFrame:
-        return gold.situacao_atual_municipio(self.indicator)
+        return gold.situacao_atual_municipio(self.stored_indicator)
 
     @cached_property
     def series(self) -> DataFrame:
-        return gold.evolucao_temporal(self.indicator)
+        return gold.evolucao_temporal(self.stored_indicator)
 
     @cached_property
     def ranked(self) -> DataFrame:
@@ -674,7 +681,7 @@ def d3_ranking(lake: Lake) -> DataFrame:
 
 @proof
 def d4_evolution(lake: Lake) -> DataFrame:
-    return dashboards.evolution(lake.series).withColumn("taxa_media", F.round("taxa_media", 7))
+    return dashboards.evolution(lake.series).withColumn("taxa_media", F.round("taxa_media", 9))
 
 
 @proof
