@@ -50,12 +50,12 @@ def write_clustered(
 ) -> None:
     """Replace a table, sorted so that Parquet min/max statistics prune on ``cluster_by``.
 
-    Range partitioning on partition + cluster columns cuts a hot partition value into several
-    tasks and files.
+    Ranges are cut on partition + cluster columns and then on a hash of the row, so that rows
+    sharing one hot value still spread over several tasks and files.
     """
     order = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.option("maxRecordsPerFile", max_rows_per_file).option("compression", "snappy")
     if partition_by:

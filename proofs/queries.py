@@ -90,7 +90,7 @@ class Lake:
     def stored_indicator(self) -> DataFrame:
         """The indicator as a written table, which is what its views read."""
         path = self.folder("indicator")
-        tables.write_clustered(self.indicator, path, ["ano_meta", "sigla_uf", "id_municipio", "rede"])
+        loader.replace_table(self.indicator, path)
         return tables.read_table(self.spark, path)
 
     @cached_property

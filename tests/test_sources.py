@@ -130,3 +130,15 @@ def test_work_folder_follows_the_session(spark):
     assert work_folder(spark, "x") != work_folder(spark, "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Session("spark://x"), "x")
+
+
+def test_clustered_write_splits_a_hot_value(spark, tmp_path):
+    df = spark.range(20000).withColumn("place", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_clustered(df, str(tmp_path / "h"), ["place"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = tables.read_table(spark, str(tmp_path / "h"))
+    files = stored.where("place = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert stored.count() == 20000 and len(files) > 1
