@@ -77,6 +77,18 @@ def test_sample_percent_is_checked(spark, percent):
         loader.sample_rows(spark.range(10), percent, 5)
 
 
+def test_file_sample_reads_only_the_chosen_files(spark, tmp_path):
+    spark.range(0, 4000, 1, 40).write.parquet(str(tmp_path / "f"))
+    source = spark.read.parquet(str(tmp_path / "f"))
+    drawn = loader.sample_rows(source, 25, 10_000, 7, "file")
+    files = drawn.groupBy(F.floor(F.col("id") / 100)).count().collect()
+    assert 0 < len(files) < 25 and all(r[1] == 100 for r in files)
+    chosen = source.where(F.pmod(F.xxhash64("_metadata.file_path", F.lit(7)), F.lit(10_000)) < 2500)
+    assert chosen.rdd.getNumPartitions() < source.rdd.getNumPartitions()
+    once = make_source("f", catalog.SAMPLE_ONCE, sample_rows=50, sample_percent=25, sample_unit="file", sample_seed=7)
+    assert make_loader(spark, tmp_path / "lake", {"f": source}).load(once) == (50, "PHYSICAL_SAMPLE_CREATED")
+
+
 def test_unknown_mode_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown load mode"):
         make_loader(spark, tmp_path, {}).load(make_source("t", "stream"))
