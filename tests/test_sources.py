@@ -78,15 +78,21 @@ def test_sample_percent_is_checked(spark, percent):
 
 
 def test_file_sample_reads_only_the_chosen_files(spark, tmp_path):
-    spark.range(0, 4000, 1, 40).write.parquet(str(tmp_path / "f"))
-    source = spark.read.parquet(str(tmp_path / "f"))
+    """The files that are not chosen are spoiled: opening one would fail."""
+    folder = tmp_path / "f"
+    spark.range(0, 4000, 1, 40).write.parquet(str(folder))
+    source = spark.read.parquet(str(folder))
     drawn = loader.sample_rows(source, 25, 10_000, 7, "file")
-    files = drawn.groupBy(F.floor(F.col("id") / 100)).count().collect()
-    assert 0 < len(files) < 25 and all(r[1] == 100 for r in files)
-    chosen = source.where(F.pmod(F.xxhash64("_metadata.file_path", F.lit(7)), F.lit(10_000)) < 2500)
-    assert chosen.rdd.getNumPartitions() < source.rdd.getNumPartitions()
+    kept = {r[0] for r in drawn.select(F.floor(F.col("id") / 100)).distinct().collect()}
+    assert 0 < len(kept) < 40 and drawn.count() == 100 * len(kept)
+    for number, path in enumerate(sorted(folder.glob("part-*.parquet"))):
+        if number not in kept:
+            path.write_bytes(b"x" * path.stat().st_size)
+    assert drawn.count() == 100 * len(kept)
     once = make_source("f", catalog.SAMPLE_ONCE, sample_rows=50, sample_percent=25, sample_unit="file", sample_seed=7)
     assert make_loader(spark, tmp_path / "lake", {"f": source}).load(once) == (50, "PHYSICAL_SAMPLE_CREATED")
+    with pytest.raises(Exception):
+        source.agg(F.sum("id")).collect()
 
 
 def test_unknown_mode_is_refused(spark, tmp_path):
