@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 200_000  # stretches a worker keeps scored; others are scored again, so the limit changes no result
+REMEMBERED = 500_000  # stretches a worker keeps scored; others are scored again, so the limit changes no result
 
 
 class Unigram:
@@ -104,9 +104,8 @@ class Unigram:
         found = self.known.get(stretch)
         if found is None:
             found = self.pieces_of(stretch)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[stretch] = found
+            if len(self.known) < REMEMBERED:
+                self.known[stretch] = found
         return found
 
 
