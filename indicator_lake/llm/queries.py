@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from indicator_lake.llm import embeddings, jaccard, mixing, packing, quality, secrets, style_tree
+from indicator_lake.llm import cotraining, embeddings, jaccard, mixing, packing, quality, secrets, style_tree, token_counts, warc
 from indicator_lake.llm.shipping import ship
 
 
@@ -19,6 +19,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(_table(spark, sf_dir, "documents"))).drop("blob")
 
@@ -43,10 +51,17 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivative_digests(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_packing, op4_secret_scan, op5_main_text, op6_ngram_jaccard, op7_quality_rules, op8_mixing, op9_vector_dedup)
-}
+    for f in (
+        op1_packing, op2_token_counts, op3_cotraining, op4_secret_scan, op5_main_text, op6_ngram_jaccard,
+        op7_quality_rules, op8_mixing, op9_vector_dedup, op10_warc_derivatives,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op4_secret_scan": r"""
