@@ -5,8 +5,8 @@ naive Bayes model over hashed features, started on the labelled documents. In ev
 documents, and the unlabelled ones it is most sure of become examples for the other view. At the end each view is
 calibrated on labelled documents and the calibrated views are combined to score all documents.
 
-Models, score histograms and counts are vectors of fixed size, summed over all tasks. Texts are shuffled once, to meet
-their labels; every round goes over all documents where they lie.
+Models, score histograms and counts are vectors of fixed size, summed over all tasks. The labelled documents are a
+bounded sample, so texts meet their labels without a shuffle; every round goes over all documents where they lie.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from indicator_lake.llm.words import mix, sliced
 TEXT_BUCKETS = 1 << 17
 META_BUCKETS = 1 << 13
 ROUNDS = 2
+MOST_LABELLED = 50_000  # labelled documents, drawn by a hash, that the views start from and are calibrated on
 SURE = 0.97  # calibrated probability from which on a view hands a document over
 BINS = 2048  # of the score histograms that the calibration uses
 SPAN = 32.0  # scores beyond it count into the outer bins
@@ -201,14 +202,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sur
     classes every score is 0.5. Repeated rows score alike; other columns are ignored.
     """
     spark = docs.sparkSession
-    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+    marks = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         (F.min("quality") == 1).cast("int").alias("good")
     )
+    marks = marks.where("good is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
     every = docs.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"),
         F.col("source").cast("string"), F.col("n_chars").cast("long"),
     )
-    labelled = stored(every.join(marks, "doc_id"), "labelled")
+    labelled = stored(every.join(F.broadcast(marks), "doc_id"), "labelled")
     unmarked = F.lit(None).cast("int").alias("good")
 
     def add(rows: DataFrame, views: tuple[View, View] | None) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 The ratio compares a multinomial over hashed one- and two-word runs of trusted documents with that of the whole
 corpus: score = sum over the document's n-grams of log p(trusted) - log p(corpus), divided by their number. A
-document passes at ``threshold`` or above. Both multinomials are counted over all documents.
+document passes at ``threshold`` or above. The corpus is counted over all documents, the
+trusted multinomial over at most ``MOST_TRUSTED`` labelled ones, drawn by a hash.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from indicator_lake.llm import vectors
 from indicator_lake.llm.words import Texts, sliced, windows
 
 BUCKETS = 1 << 16
+MOST_TRUSTED = 50_000  # labelled documents that the trusted multinomial is fitted on
 THRESHOLD = -0.07  # nats per n-gram
 PRIOR = 200.0  # n-grams added to each bucket, so that runs few documents have say little either way
 SCALE = 1 << 20  # gains are whole numbers of this fraction, so that sums do not depend on their order
@@ -127,16 +129,18 @@ def _judge(ratio, threshold: float):
     return run
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """doc_id of documents whose every label says good quality and not toxic."""
-    one = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    return one.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("doc_id")
+def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
+    """doc_id of documents whose every label says good quality and not toxic; of more than ``most`` a sample by hash."""
+    one = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    good = one.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0").select("doc_id")
+    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
 def gains(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log p(trusted) - log p(corpus) for each bucket; zeros when there is no trusted n-gram."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    flagged = texts.join(trusted.withColumn("good", F.lit(True)), "doc_id", "left")
+    # at most MOST_TRUSTED ids: bounded, so texts need no shuffle to meet them
+    flagged = texts.join(F.broadcast(trusted.withColumn("good", F.lit(True))), "doc_id", "left")
     flagged = flagged.select("text", F.coalesce("good", F.lit(False)).alias("good"))
     found = vectors.total(flagged.mapInArrow(_count, vectors.PART), 2 * BUCKETS)
     corpus, target = found[:BUCKETS], found[BUCKETS:]
