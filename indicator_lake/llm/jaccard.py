@@ -7,7 +7,8 @@ A document's set holds the hashes of its distinct runs of ``k`` lower-cased word
    band, when their exact Jaccard similarity with it reaches the threshold.
 3. The matrix holds, for each group, the union of its members' prefix tokens (the rarest tokens of a set; two sets
    over the threshold always share one). A query whose prefix meets a group's union nowhere can't reach the needed
-   overlap there; only the other groups are opened, and only at members that carry the token and fit in size.
+   overlap there; only the other groups are opened, and only at members that carry the token, fit in size, and have enough
+   tokens from there on for the overlap that the threshold needs.
 4. Opened pairs are compared exactly; components follow from all links.
 
 The token order that defines "rare" comes from a count of hash buckets of fixed size over all documents. Any order
@@ -175,15 +176,18 @@ def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
 
     # the matrix: token to group, for tokens that more than one group holds
     grouped = classes.join(groups, classes["rep"] == groups["node"], "left")
-    tokens = grouped.select("rep", "n", F.coalesce("component", "rep").alias("grp"), F.explode("prefix").alias("token"))
+    tokens = grouped.select("rep", "n", F.coalesce("component", "rep").alias("grp"), F.posexplode("prefix").alias("pos", "token"))
     whole = Window.partitionBy("token")
     matrix = tokens.withColumn("low", F.min("grp").over(whole)).withColumn("high", F.max("grp").over(whole))
-    matrix = stored(matrix.where("low < high").select("token", "grp", "rep", "n"), "matrix")
-    queries, holders = matrix.toDF("token", "g", "a", "na"), matrix.toDF("token", "h", "b", "nb")
+    matrix = stored(matrix.where("low < high").select("token", "grp", "rep", "n", "pos"), "matrix")
+    queries, holders = matrix.toDF("token", "g", "a", "na", "pa"), matrix.toDF("token", "h", "b", "nb", "pb")
+    # sets over the threshold share this much; at their first common token so much of both must still follow
+    shared = f"ceil({percent} * (na + nb) / {100 + percent})"
     opened = (
         queries.join(holders, "token")
         .where("g < h")
         .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        .where(f"na - pa >= {shared} and nb - pb >= {shared}")
         .select("a", "b")
         .distinct()
     )
