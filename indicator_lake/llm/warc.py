@@ -64,7 +64,7 @@ def plain_text(html: str) -> str:
 
 def html_facts(html: str) -> dict:
     title = _TITLE.search(html)
-    links = [unescape(next(g for g in m.groups(default="") if g or g == m.groups(default="")[-1])) for m in _LINK.finditer(html)]
+    links = [unescape("".join(m.groups(default=""))) for m in _LINK.finditer(html)]
     return {"title": _SPACE.sub(" ", unescape(title[1])).strip() if title else None, "links": links}
 
 
