@@ -12,6 +12,7 @@ WHITE_SPACE = (
 )
 CODE_WIDTH = 7
 CODE_PATTERN = r"^[0-9]{7}\z"
+_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+|(?i:inf|infinity))([eE][+-]?[0-9]+)?\s*\z"
 _INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
 
 # Tokens read as true and as false.
@@ -48,7 +49,11 @@ def safe_long(df: DataFrame, name: str) -> Column:
 
 def safe_double(df: DataFrame, name: str) -> Column:
     """Double or NULL; NaN is NULL because every comparison with it would be true."""
-    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
+    value = F.col(name)
+    if dict(df.dtypes)[name] == "string":
+        # A cast alone would also take Java's suffixes and hexadecimal forms ('7d', '0x1p3').
+        return F.when(value.rlike(_DECIMAL), value.try_cast("double"))
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def safe_text(df: DataFrame, name: str) -> Column:

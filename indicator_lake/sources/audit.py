@@ -35,11 +35,10 @@ CHECK_SCHEMA = T.StructType(
         T.StructField("error_message", T.StringType()),
     ]
 )
-MESSAGE_LIMIT = 5000
 
 
 def error_text(error: BaseException) -> str:
-    return str(error)[:MESSAGE_LIMIT]
+    return str(error)
 
 
 def run_rows(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:

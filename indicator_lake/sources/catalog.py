@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 FULL_SNAPSHOT = "full_snapshot"
 SAMPLE_ONCE = "physical_sample_once"
 
-# The tables of the public source, their modes and the student sample size.
+# The tables of the public source. All are loaded whole; a catalog of one's own may ask for a sample
+# by mode, ``sample_rows`` and ``sample_percent``.
 DEFAULT_CATALOG = {
     "source_project": "basedosdados",
     "source_dataset": "br_inep_avaliacao_alfabetizacao",
@@ -21,9 +22,7 @@ DEFAULT_CATALOG = {
             "name": "alunos_amostra",
             "source_table": "alunos",
             "destination_table": "alunos_amostra",
-            "mode": SAMPLE_ONCE,
-            "sample_rows": 500,
-            "sample_percent": 1,
+            "mode": FULL_SNAPSHOT,
         },
         *(
             {"name": name, "source_table": name, "destination_table": name, "mode": FULL_SNAPSHOT}

@@ -32,15 +32,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Spread a table stored in fewer splits than there are cores by a unique ``key``.
-
-    A table with enough splits, as any large one has, is returned unchanged.
-    """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
-
-
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -66,11 +57,13 @@ def write_clustered(
 def export_run(table: DataFrame, run_id: str, path: str) -> None:
     """Write one run to ``path/ingestion_date=<day>/run_id=<id>`` (Snappy Parquet).
 
-    Only that run's folders are replaced, so repeating an export changes nothing.
+    The day is the one the table stores the run under, else that of its load time. Only that
+    run's folders are replaced, so repeating an export changes nothing.
     """
+    day = F.col(INGESTION_DATE) if INGESTION_DATE in table.columns else F.to_date(INGESTED_AT)
     (
         table.where(F.col(RUN_ID) == F.lit(run_id))
-        .withColumns({INGESTION_DATE: F.to_date(INGESTED_AT), "run_id": F.col(RUN_ID)})
+        .withColumns({INGESTION_DATE: day, "run_id": F.col(RUN_ID)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

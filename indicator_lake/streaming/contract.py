@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from indicator_lake.functions.normalise import CODE_PATTERN, WHITE_SPACE, trim_ws
-from indicator_lake.sources.audit import MESSAGE_LIMIT
 
 # The 27 state codes, bounds, defaults and field names of the contract.
 STATE_CODES = (
@@ -71,10 +70,17 @@ def _text(name: str) -> Column:
     return F.when(_kind(name) == "STRING", _raw(name))
 
 
-def _number(name: str) -> Column:
-    """A JSON number, true/false as 1/0, or a number written as text."""
+# Numbers written as text; casts alone would also take suffixes and hexadecimal forms.
+_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+_WHOLE = r"^\s*[+-]?[0-9]+(\.0+)?\s*\z"
+_PLAIN = r"^\s*[+-]?[0-9]+(\.[0-9]+)?\s*\z"
+
+
+def _number(name: str, written: str = _DECIMAL) -> Column:
+    """A JSON number, true/false as 1/0, or a number written as text in the form ``written``."""
     kind = _kind(name)
-    numeric = kind.isin("STRING", *_INTEGERS, "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
+    numeric = kind.isin(*_INTEGERS, "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
+    numeric = numeric | ((kind == "STRING") & _raw(name).rlike(written))
     flag = F.when(kind == "BOOLEAN", _raw(name).try_cast("boolean").cast("double"))
     return F.when(numeric, _raw(name).try_cast("double")).otherwise(flag)
 
@@ -82,7 +88,7 @@ def _number(name: str) -> Column:
 def _instant(name: str) -> Column:
     """ISO text (without offset = session time zone, UTC) or an epoch number."""
     text = F.translate(_text(name), "t_z,", "T Z.")
-    number = F.when(_kind(name) != "BOOLEAN", _number(name))
+    number = F.when(_kind(name) != "BOOLEAN", _number(name, _PLAIN))
     seconds = F.when(F.abs(number) > _SECONDS_LIMIT, number / 1000).otherwise(number)
     epoch = F.timestamp_micros(F.round(seconds * 1_000_000).try_cast("bigint"))
     return F.when(text.rlike(_ISO_TIME), text.try_cast("timestamp")).otherwise(epoch)
@@ -115,7 +121,7 @@ def typed(parsed: DataFrame) -> DataFrame:
         "_id_evento": _text("id_evento"),
         "_id_municipio": _text("id_municipio"),
         "_sigla_uf": F.upper(trim_ws(_text("sigla_uf"), _STRIPPED)),
-        "_ano": _number("ano"),
+        "_ano": _number("ano", _WHOLE),
         "_rede": _text("rede"),
         "_serie": _text("serie"),
         "_taxa_alfabetizacao": _number("taxa_alfabetizacao"),
@@ -192,7 +198,7 @@ def rejected(validated: DataFrame, processed_at: Column | None = None) -> DataFr
     stamp = F.current_timestamp() if processed_at is None else processed_at
     return validated.where(F.size("_errors") > 0).select(
         F.col("_text").alias("payload"),
-        F.substring(F.concat_ws("; ", "_errors"), 1, MESSAGE_LIMIT).alias("error_message"),
+        F.concat_ws("; ", "_errors").alias("error_message"),
         stamp.alias("data_processamento"),
         F.col("message_id").alias("pubsub_message_id"),
     )

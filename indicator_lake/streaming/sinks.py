@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from indicator_lake.streaming.contract import Contract, accepted, rejected, validate
 
 MESSAGE_SCHEMA = "value binary, message_id string"
+QUERY_ID = "sql.streaming.queryId"  # the local property Spark sets for a stream's thread
 VALID, REJECTED = "eventos_indicador", "eventos_rejeitados"
 
 
@@ -30,14 +31,16 @@ def batch_writer(
     """Writer of one micro-batch: each message lands in exactly one of two tables.
 
     Every batch owns one folder per table and replaces it, so a replayed batch does not
-    duplicate rows.
+    duplicate rows. The folder bears the query's id, which lives in the checkpoint: a stream
+    with a new checkpoint counts its batches anew and must not replace those of the old one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "none"
         validated = validate(batch, contract, as_of).persist()
         try:
             for name, rows in ((VALID, accepted(validated)), (REJECTED, rejected(validated))):
-                rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+                rows.write.mode("overwrite").parquet(f"{root}/{name}/query={query}/batch_id={batch_id}")
         finally:
             validated.unpersist()
 
@@ -59,4 +62,4 @@ def start(
 
 
 def read_events(spark: SparkSession, root: str, name: str = VALID) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").drop("batch_id")
+    return spark.read.parquet(f"{root}/{name}").drop("query", "batch_id")

@@ -88,22 +88,22 @@ class Lake:
 
     @cached_property
     def stored_indicator(self) -> DataFrame:
-        """The indicator as a written table, which is what its views read."""
+        """The indicator as a written table, for the ranking, which reads its input more than once."""
         path = self.folder("indicator")
         loader.replace_table(self.indicator, path)
         return tables.read_table(self.spark, path)
 
     @cached_property
     def current(self) -> DataFrame:
-        return gold.situacao_atual_municipio(self.stored_indicator)
+        return gold.situacao_atual_municipio(self.indicator)
 
     @cached_property
     def series(self) -> DataFrame:
-        return gold.evolucao_temporal(self.stored_indicator)
+        return gold.evolucao_temporal(self.indicator)
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return gold.ranking_municipios(self.current)
+        return gold.ranking_municipios(gold.situacao_atual_municipio(self.stored_indicator))
 
     def sources(self, names: Sequence[str] = TABLES) -> list[dict]:
         return catalog.build_source_list(

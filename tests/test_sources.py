@@ -29,8 +29,7 @@ def test_catalog_names_modes_and_inheritance(tmp_path):
     assert {"uf", "municipio", "alunos_amostra", "meta_alfabetizacao_brasil", "meta_alfabetizacao_uf"} <= names
     assert {"meta_alfabetizacao_municipio", "dicionario", "diretorio_municipio"} <= names
     students = next(s for s in sources if s["name"] == "alunos_amostra")
-    assert students["mode"] == catalog.SAMPLE_ONCE and students["sample_rows"] == 500
-    assert 0 < students["sample_percent"] <= 100
+    assert students["mode"] == catalog.FULL_SNAPSHOT and "sample_rows" not in students
     assert all({"source_project", "source_dataset"} <= s.keys() for s in sources)
     assert [s["name"] for s in catalog.select_sources(sources, {"uf"})] == ["uf"]
     assert catalog.select_sources(sources) == sources
@@ -160,3 +159,28 @@ def test_clustered_write_splits_a_hot_value(spark, tmp_path):
     stored = tables.read_table(spark, str(tmp_path / "h"))
     files = stored.where("place = 'hot'").groupBy(F.input_file_name()).count().collect()
     assert stored.count() == 20000 and len(files) > 1
+
+
+def test_a_run_repeated_after_midnight_replaces_itself(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    frames = {"t": spark.range(10).withColumnRenamed("id", "k")}
+    for moment in (datetime(2025, 1, 1, 23, 59, tzinfo=timezone.utc), datetime(2025, 1, 2, 0, 1, tzinfo=timezone.utc)):
+        again = make_loader(spark, tmp_path / "lake", frames, "run-1")
+        again.clock, again.export_root = lambda moment=moment: moment, str(tmp_path / "out")
+        assert again.load(make_source("t"))[0] == 10
+    assert spark.read.parquet(f"{tmp_path}/lake/t").count() == 10
+    assert spark.read.parquet(f"{tmp_path}/out/t").count() == 10
+
+
+def test_sampled_rows_come_from_the_whole_draw(spark):
+    from indicator_lake.sources.loader import sample_rows
+
+    rows = [r.id for r in sample_rows(spark.range(0, 100_000, 1, 20), 5, 300, 1).collect()]
+    assert len(rows) == 300 and {r // 10_000 for r in rows} == set(range(10))
+
+
+def test_a_sample_without_sizes_is_refused(spark, tmp_path):
+    loader = make_loader(spark, tmp_path, {"t": spark.range(5)})
+    with pytest.raises(ValueError, match="sample_rows"):
+        loader.load(make_source("t", catalog.SAMPLE_ONCE))
