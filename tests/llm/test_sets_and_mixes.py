@@ -23,7 +23,8 @@ class Joined:
 
     def find(self, n):
         while self.up[n] != n:
-            n = self.up[n] = self.up[self.up[n]]
+            self.up[n] = self.up[self.up[n]]
+            n = self.up[n]
         return n
 
     def join(self, a, b):
