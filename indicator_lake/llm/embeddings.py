@@ -131,7 +131,7 @@ def _close(one: tuple, two: tuple, table: int, same: bool, cosine: float, half:
 
 
 def _compare(cosine: float, half: float, least: int, seed: int):
-    """Over rows sorted by (cell, t, low, high): all pairs of each two blocks, as counts and partners of each vector."""
+    """Over rows sorted by (cell, t, low, high): all pairs of each two blocks, as counts and the least node that links lead to."""
 
     def one_group(key: tuple, rows: tuple, side: np.ndarray) -> list[tuple[np.ndarray, ...]]:
         _, table, low, high = key
@@ -139,19 +139,27 @@ def _compare(cosine: float, half: float, least: int, seed: int):
         two = one if low == high else tuple(x[side == high] for x in rows)
         if not len(one[0]) or not len(two[0]):
             return []
-        sums = [np.zeros(len(x[0]), np.int64) for x in (one, two)]
-        partners = [x[0].copy() for x in (one, two)]
-        for i, j in _close(one, two, table, low == high, cosine, half, least):
-            np.add.at(sums[0], i, two[3][j])
-            np.add.at(sums[1], j, one[3][i])
-            np.minimum.at(partners[0], i, two[0][j])
-            np.minimum.at(partners[1], j, one[0][i])
-        found = []
-        for x, total, partner in zip((one, two), sums, partners, strict=True):
-            some = total > 0
-            if some.any():
-                found.append((x[0][some], total[some], partner[some]))
-        return found
+        same = low == high
+        shift = 0 if same else len(one[0])
+        nodes = one[0] if same else np.concatenate([one[0], two[0]])
+        weights = one[3] if same else np.concatenate([one[3], two[3]])
+        pairs = [(i, j + shift) for i, j in _close(one, two, table, same, cosine, half, least)]
+        i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        if not len(i):
+            return []
+        total = np.zeros(len(nodes), np.int64)
+        np.add.at(total, i, weights[j])
+        np.add.at(total, j, weights[i])
+        # the least node reachable inside these blocks stands for all links among them
+        reached = nodes.copy()
+        while True:
+            before = reached.copy()
+            np.minimum.at(reached, i, before[j])
+            np.minimum.at(reached, j, before[i])
+            if (reached == before).all():
+                break
+        some = total > 0
+        return [(nodes[some], total[some], reached[some])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: pa.Table | None = None

@@ -121,8 +121,14 @@ def test_vector_links_equal_brute_force(llm):
     groups = Joined(range(len(rows)))
     for a, b in zip(*np.nonzero(links)):
         groups.join(int(a), int(b))
-    same = [found[i].component_id == rows[groups.find(x)][0] for x, (i, _) in enumerate(rows)]
-    assert np.mean(same) > 0.97
+    # where every link was found components are exact; a missed link may split one but never merges two
+    true, whole = [groups.find(x) for x in range(len(rows))], defaultdict(lambda: True)
+    for x, (i, _) in enumerate(rows):
+        whole[true[x]] &= found[i].n_links == links[x].sum()
+    assert all(found[i].component_id == rows[true[x]][0] for x, (i, _) in enumerate(rows) if whole[true[x]])
+    place = {i: x for x, (i, _) in enumerate(rows)}
+    assert all(true[place[found[i].component_id]] == true[x] for x, (i, _) in enumerate(rows))
+    assert sum(whole.values()) > 0.8 * len(whole)
     assert all((found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True) for i, _ in odd)
     assert len(found) == len(rows) + len(odd)
     assert embeddings.near_duplicates(vectors(llm, [])).count() == 0
