@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -56,7 +57,10 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
-_BLOCKS = "page_id long, url string, row long, pos int, node string, style string, text string, content string, dropped boolean"
+_IN_ARTICLE = re.compile(r"(^|/)(article|main)([./]|$)")
+
+_NODES = "host string, row long, node long, parent long, style long, content long, in_article boolean"
+_TEXTS = "page_id long, url string, row long, parts array<struct<node: long, text: string>>"
 
 
 class Element:
@@ -142,16 +146,27 @@ def blocks(html: str | None) -> Iterator[tuple[str, str, str, bool]]:
     yield from flush()
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [f.split()[0] for f in _BLOCKS.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+@lru_cache(maxsize=100_000)
+def _place(node: str, style: str) -> tuple[int, int, int, bool]:
+    """Hashes of a node, of the node above it and of its style, and whether it stands in an article."""
+    return _hash(node), _hash(node[: -len(style) - 1]), _hash(style), bool(_IN_ARTICLE.search(node))
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of hashes for each block that may belong to the article."""
+    names = [f.split()[0] for f in _NODES.split(", ")]
+    kinds = [pa.string(), *[pa.int64()] * 5, pa.bool_()]
     for batch in batches:
         rows: list[tuple] = []
-        for page, url, html, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows.append((page, url, row, -1, "", "", "", "", True))  # every page has a row, also without blocks
-            for pos, (node, style, text, dropped) in enumerate(blocks(html)):
-                content = "" if dropped else hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
-                rows.append((page, url, row, pos, node, style, "" if dropped else text, content, dropped))
+        for host, row, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for node, style, text, dropped in blocks(html):
+                if not dropped:
+                    at, above, look, in_article = _place(node, style)
+                    rows.append((host, row, at, above, look, _hash(text), in_article))
             if len(rows) > 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                 rows = []
@@ -159,6 +174,21 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page with the nodes and texts of its blocks, in page order; batches end at about 4 million characters."""
+    parts = pa.list_(pa.struct([("node", pa.int64()), ("text", pa.string())]))
+    for batch in batches:
+        first, size, found = 0, 0, []
+        for i, html in enumerate(batch.column(3).to_pylist()):
+            shown = [{"node": _place(node, style)[0], "text": text} for node, style, text, dropped in blocks(html) if not dropped]
+            found.append(shown)
+            size += len(html or "")
+            if size > 1 << 22 or i + 1 == batch.num_rows:
+                columns = [batch.column(c).slice(first, len(found)) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, parts)], ["page_id", "url", "row", "parts"])
+                first, size, found = i + 1, 0, []
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
@@ -172,16 +202,15 @@ def _entropy(counts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def style_tree(parsed: DataFrame) -> DataFrame:
-    """(host, node, importance, pages) for the nodes that enough pages of their host hold.
+def style_tree(nodes: DataFrame) -> DataFrame:
+    """(host, node, importance, pages) for the nodes outside articles that enough pages of their host hold.
 
     Importance is the entropy of the node's content over the pages, with a share of the entropy of the styles that
-    stand beside it under its parent.
+    stand beside it under its parent. Nodes are known by the hash of their path.
     """
-    shown = parsed.where("pos >= 0 and not dropped").withColumn("parent", F.regexp_replace("node", r"/?[^/]*$", ""))
-    texts = shown.groupBy("host", "parent", "node", "content").agg(F.count("*").alias("n"))
+    texts = nodes.where("not in_article").groupBy("host", "parent", "node", "content").agg(F.count("*").alias("n"))
     content = _entropy(texts, ["host", "parent", "node"])
-    styles = shown.groupBy("host", "parent", "style").agg(F.count("*").alias("n"))
+    styles = nodes.groupBy("host", "parent", "style").agg(F.count("*").alias("n"))
     shape = _entropy(styles, ["host", "parent"]).select("host", "parent", F.col("entropy").alias("shape"))
     joined = content.where(F.col("seen") >= MIN_PAGES).join(shape, ["host", "parent"])
     importance = (1 - SHAPE) * F.col("entropy") + SHAPE * F.col("shape")
@@ -193,17 +222,17 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null and empty html gives an empty text. Rows that repeat are separate pages. Other columns are ignored. Blocks
     are joined in page order by a line feed; nothing is cut off.
+
+    Pages are read twice: once for the hashes that the tree counts, once for the texts. So texts move at most once,
+    to meet the nodes that their page loses, and are never written in between.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    row = F.xxhash64("page_id", "url", "html").alias("row")
-    parsed = rows.select("page_id", "url", "html", row).mapInArrow(_parse, _BLOCKS)
-    parsed = stored(parsed.withColumn("host", host_of(F.col("url"))).where("pos = -1 or not dropped"), "blocks")
-    low = style_tree(parsed).where(F.col("importance") < LOW_IMPORTANCE)
-    low = low.where(~F.col("node").rlike(r"(^|/)(article|main)([./]|$)")).select("host", "node")
-    kept = parsed.where("pos >= 0").join(low, ["host", "node"], "left_anti")
-    everyone = parsed.where("pos = -1").groupBy("row", "page_id", "url").agg(F.count("*").alias("times"))
-    text = kept.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("pos", "text"))).alias("parts"))
-    text = text.select("row", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
-    found = everyone.join(text, "row", "left").withColumn("text", F.coalesce("text", F.lit("")))
-    found = found.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
+    nodes = stored(rows.select(host_of(F.col("url")).alias("host"), "row", "html").mapInArrow(_nodes, _NODES), "nodes")
+    low = style_tree(nodes).where(F.col("importance") < LOW_IMPORTANCE).select("host", "node")
+    lost = nodes.where("not in_article").join(low, ["host", "node"], "left_semi")
+    lost = lost.groupBy("row").agg(F.collect_set("node").alias("lost"))  # at most the nodes of one page
+    texts = rows.select("page_id", "url", "row", "html").mapInArrow(_texts, _TEXTS).join(lost, "row", "left")
+    kept = F.filter("parts", lambda p: ~F.coalesce(F.array_contains("lost", p["node"]), F.lit(False)))
+    text = F.array_join(F.transform(kept, lambda p: p["text"]), "\n").alias("text")
+    return texts.select("page_id", "url", text).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
