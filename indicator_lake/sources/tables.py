@@ -14,21 +14,26 @@ INGESTION_DATE = "ingestion_date"
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table, or None where there is none yet."""
     try:
-        spark.read.parquet(path)
-        return True
+        return read_table(spark, path)
     except AnalysisException as exc:
         if exc.getCondition() in _ABSENT:
-            return False
+            return None
         raise
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table; run ids in partition folders stay text ('007' does not become 7)."""
-    found = spark.read.parquet(path).schema
+    """Read a table; run ids in partition folders stay text ('007' does not become 7).
+
+    The folders are listed once, and again only where Spark took run ids for something else.
+    """
+    table = spark.read.parquet(path)
     text = {RUN_ID, "run_id"}
-    fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found]
+    fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in table.schema]
+    if fields == table.schema.fields:
+        return table
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
