@@ -276,6 +276,61 @@ def _nulls(table: str, view: str, *columns: str) -> str:
     )
 
 
+def _assertions() -> str:
+    """All assertions, then the checks after a run; each row is a name and the rows or keys that break it."""
+    parts = [
+        _nulls("alunos_tratados", "students", "ano", "id_aluno", "id_municipio"),
+        _nulls("dim_municipio", "dim", "id_municipio", "nome_municipio", "sigla_uf"),
+        _nulls("eventos_indicador_tratados", "clean_events", "id_evento", "id_municipio", "sigla_uf", "ano", "data_evento"),
+        _nulls("meta_brasil", "national_targets", "ano_resultado", "ano_meta", "rede"),
+        _nulls("meta_municipio", "targets", "ano_resultado", "ano_meta", "id_municipio", "rede"),
+        _nulls("meta_uf", "state_targets", "ano_resultado", "ano_meta", "sigla_uf", "rede"),
+        _nulls("municipio_resultado", "results", "ano", "id_municipio", "serie", "rede"),
+        _nulls("uf_resultado", "state_results", "ano", "sigla_uf", "serie", "rede"),
+        _nulls("features_ml", "features", "ano", "id_municipio", "rede"),
+        _nulls("indicador_municipio", "indicator", "id_municipio", "sigla_uf", "rede", "origem_dado"),
+        _nulls("indicador_uf", "state_indicator", "ano_resultado", "sigla_uf", "rede"),
+        _nulls("resumo_brasil", "summary", "ano_resultado", "ano_meta", "rede"),
+    ]
+    keys = (
+        ("alunos_tratados", "students", "ano, id_aluno"),
+        ("dim_municipio", "dim", "id_municipio"),
+        ("eventos_indicador_tratados", "clean_events", "id_evento"),
+        ("meta_brasil", "national_targets", "ano_resultado, ano_meta, rede"),
+        ("meta_municipio", "targets", "ano_resultado, ano_meta, id_municipio, rede"),
+        ("meta_uf", "state_targets", "ano_resultado, ano_meta, sigla_uf, rede"),
+        ("municipio_resultado", "results", "ano, id_municipio, serie, rede"),
+        ("uf_resultado", "state_results", "ano, sigla_uf, serie, rede"),
+        ("features_ml", "features", "ano, id_municipio, rede"),
+    )
+    parts += [
+        f"SELECT '{name}.unique_key', count(*) FROM (SELECT 1 FROM {view} GROUP BY {key} HAVING count(*) > 1)"
+        for name, view, key in keys
+    ]
+    broken = (
+        ("alunos_tratados.proficiencia", "students", "proficiencia < 0"),
+        ("eventos_indicador_tratados.taxa_alfabetizacao", "clean_events", "taxa_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("meta_municipio.meta_alfabetizacao", "targets", "meta_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("municipio_resultado.taxa_alfabetizacao", "results", "taxa_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("municipio_resultado.id_municipio", "results", "NOT regexp_full_match(id_municipio, '[0-9]{7}')"),
+        ("uf_resultado.taxa_alfabetizacao", "state_results", "taxa_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("evento_nao_futuro", "clean_events", f"data_evento > timestamp '{AS_OF}'"),
+        ("meta_municipal_sem_orfao", "targets", "NOT EXISTS (FROM dim d WHERE d.id_municipio = targets.id_municipio)"),
+        ("sem_orfao_resultado_municipio", "results", "NOT EXISTS (FROM dim d WHERE d.id_municipio = results.id_municipio)"),
+        ("consistencia_uf_municipio", "clean_events", "EXISTS (FROM dim d WHERE d.id_municipio = clean_events.id_municipio AND d.sigla_uf <> clean_events.sigla_uf)"),
+        ("indicador_municipio.taxa_alfabetizacao", "indicator", "taxa_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("indicador_municipio.meta_alfabetizacao", "indicator", "meta_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("indicador_uf.taxa_alfabetizacao", "state_indicator", "taxa_alfabetizacao NOT BETWEEN 0 AND 100"),
+        ("gold_chave_municipio_valida", "indicator", "NOT regexp_full_match(id_municipio, '[0-9]{7}')"),
+    )
+    parts += [f"SELECT '{name}', count(*) FROM {view} WHERE {test}" for name, view, test in broken]
+    counts = " UNION ALL ".join(parts)
+    return (
+        "SELECT check_name, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status, violations, "
+        f"cast(0 AS bigint) AS max_violations FROM ({counts}) UNION ALL {_checks()}"
+    )
+
+
 def _refreshed() -> str:
     names = {
         "dim_municipio": "dim", "municipio_resultado": "results", "uf_resultado": "state_results",
@@ -298,6 +353,9 @@ FINAL = {
         for run in ("run-1", "run-2")
     ),
     "io4_sample_hash": "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('42' || cast(o_orderkey AS varchar)), o_orderkey LIMIT 500",
+    "io4_sample_once": "SELECT l_orderkey, l_linenumber, 'run-1' AS run_id, 'PHYSICAL_SAMPLE_CREATED' AS first_action, "
+    "'PHYSICAL_SAMPLE_REUSED' AS second_action FROM lineitem "
+    "ORDER BY md5('42' || l_orderkey || l_linenumber), l_orderkey, l_linenumber LIMIT 500",
     "io8_export_roundtrip": "SELECT _ingestion_run_id AS run_id, strftime(_ingested_at, '%Y-%m-%d') AS day, count(*) AS n_rows, "
     "round(sum(o_totalprice), 2) AS total FROM b_runs WHERE _ingestion_run_id = 'run-2001' GROUP BY 1, 2",
     "io11_run_audit": _per_table("SELECT '{t}' AS destination_table, 'SUCCESS' AS status, count(*) AS rows_processed FROM {t}"),
@@ -413,6 +471,11 @@ FINAL = {
     f"meta_alfabetizacao AS meta_alfabetizacao, strftime(data_evento, {FMT}) AS data_evento FROM valid_events",
     "st5_dead_letter": "SELECT value AS payload, errors AS error_message, "
     "message_id AS pubsub_message_id FROM checked WHERE errors <> ''",
+    "st6_stream_equals_batch": " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{measure}' AS measure, {value} AS value FROM checked WHERE errors {test} ''"
+        for table, test in (("eventos_indicador", "="), ("eventos_rejeitados", "<>"))
+        for measure, value in (("stored", "count(*)"), ("missing", "0 * count(*)"), ("surplus", "0 * count(*)"))
+    ),
     "st7_event_dedupe": "SELECT id_evento, id_municipio, sigla_uf, ano, lower(rede) AS rede, lower(serie) AS serie, "
     "'REENVIO' AS fonte, taxa_alfabetizacao AS taxa_alfabetizacao, "
     f"strftime(data_processamento + interval 1 day, {FMT}) AS data_processamento FROM valid_events",
@@ -428,6 +491,7 @@ FINAL = {
     "UNION ALL SELECT 'results.taxa', count(*) FROM results WHERE NOT (taxa_alfabetizacao BETWEEN 10 AND 90) "
     "UNION ALL SELECT 'results.code', count(*) FROM results WHERE NOT regexp_full_match(id_municipio, '[0-9]{7}')",
     "q9_check_report": _checks(),
+    "q_assertions_report": _assertions(),
     "m1_dim": "SELECT * EXCLUDE (_ingested_at) FROM dim",
     "m2_result": f"SELECT ano, id_municipio, serie, rede, {_names('taxa_alfabetizacao', 'media_portugues', *SHARES)} FROM results",
     "m3_state_result": f"SELECT ano, sigla_uf, serie, rede, {_names('taxa_alfabetizacao', 'media_portugues', *SHARES)} FROM state_results",

@@ -153,13 +153,13 @@ def io4_sample_hash(lake: Lake) -> DataFrame:
 @proof
 def io4_sample_once(lake: Lake) -> DataFrame:
     root = lake.folder("sample")
-    source = {**lake.sources(["lineitem"])[0], "mode": catalog.SAMPLE_ONCE, "sample_rows": 500, "sample_percent": 5}
+    keys = ["l_orderkey", "l_linenumber"]
+    source = {**lake.sources(["lineitem"])[0], "mode": catalog.SAMPLE_ONCE, "sample_rows": 500, "sample_keys": keys}
     _, created = lake.loader(root, "run-1").load(source)
     _, reused = lake.loader(root, "run-2").load(source)
     stored = tables.read_table(lake.spark, f"{root}/lineitem")
-    return stored.groupBy(F.col("_ingestion_run_id").alias("run_id")).agg(
-        F.count("*").alias("n_rows"), F.lit(created).alias("first_action"), F.lit(reused).alias("second_action")
-    )
+    run, actions = F.col("_ingestion_run_id").alias("run_id"), (created, reused)
+    return stored.select(*keys, run, *[F.lit(a).alias(n) for n, a in zip(("first_action", "second_action"), actions)])
 
 
 @proof
@@ -544,11 +544,15 @@ def st6_stream_equals_batch(lake: Lake) -> DataFrame:
     parts = []
     for name, expected in batch.items():
         stored = sinks.read_events(lake.spark, f"{root}/out", name).drop("data_processamento")
-        missing = expected.drop("data_processamento").exceptAll(stored).agg(F.count("*").alias("n_missing"))
-        counted = stored.agg(F.count("*").alias("n_rows"))
-        rows = counted.select(F.lit(name).alias("table"), F.lit("stored").alias("measure"), F.col("n_rows").alias("value"))
-        parts += [rows, missing.select(F.lit(name).alias("table"), F.lit("missing").alias("measure"), F.col("n_missing").alias("value"))]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+        expected = expected.drop("data_processamento")
+        measures = {"stored": stored, "missing": expected.exceptAll(stored), "surplus": stored.exceptAll(expected)}
+        for measure, rows in measures.items():
+            counted = rows.agg(F.count("*").alias("value"))
+            parts.append(counted.select(F.lit(name).alias("table"), F.lit(measure).alias("measure"), "value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 @proof
@@ -689,9 +693,8 @@ def d5_event_count(lake: Lake) -> DataFrame:
     return dashboards.valid_event_count(lake.valid_events)
 
 
-@proof
-def full_refresh_counts(lake: Lake) -> DataFrame:
-    """Every stored table and view of a full run, with its rows."""
+def _refresh(lake: Lake, root: str, audit_path: str | None = None) -> dict[str, DataFrame]:
+    """All tables of a full run over the source tables."""
     names = {
         "diretorio_municipio": "b_directory",
         "municipio": "b_municipio",
@@ -703,7 +706,22 @@ def full_refresh_counts(lake: Lake) -> DataFrame:
     }
     sources = {name: lake.inputs[view] for name, view in names.items()}
     sources["eventos_indicador"] = lake.valid_events
-    built = lakehouse.build_lakehouse(lake.spark, sources, lake.folder("lake"), stamp(AS_OF), strict=False)
+    return lakehouse.build_lakehouse(lake.spark, sources, root, stamp(AS_OF), audit_path, strict=False)
+
+
+@proof
+def q_assertions_report(lake: Lake) -> DataFrame:
+    """Outcome of every assertion and check of a full run, as its audit table keeps them."""
+    root = lake.folder("asserted")
+    _refresh(lake, f"{root}/lake", f"{root}/checks")
+    report = tables.read_table(lake.spark, f"{root}/checks")
+    return report.select("check_name", "status", "violations", "max_violations")
+
+
+@proof
+def full_refresh_counts(lake: Lake) -> DataFrame:
+    """Every stored table and view of a full run, with its rows."""
+    built = _refresh(lake, lake.folder("lake"))
     parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("name"), "n_rows") for n, df in built.items()]
     out = parts[0]
     for part in parts[1:]:
