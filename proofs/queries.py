@@ -462,7 +462,7 @@ def w6_dense_rank_orders(lake: Lake) -> DataFrame:
     """The same ranking on a table whose groups hold very many distinct values."""
     prices = lake.inputs["orders"].select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     return ranking.two_level_dense_rank(
-        prices, "o_totalprice", ["o_orderstatus"], ["o_orderpriority"], "rank_status", "rank_priority", 0.0, 500_000.0
+        prices, "o_totalprice", ["o_orderstatus"], ["o_orderpriority"], "rank_status", "rank_priority"
     )
 
 

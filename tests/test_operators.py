@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from indicator_lake.operators import joins, picks, reshape
-from indicator_lake.operators.ranking import two_level_dense_rank
+from indicator_lake.operators.ranking import _banded, two_level_dense_rank
 
 
 def test_latest_run_drops_older_runs_and_prunes_partitions(spark, tmp_path):
@@ -56,7 +56,7 @@ def test_orphans_keep_rows_with_null_key(spark):
 
 @pytest.mark.parametrize("bands", [1, 7, 512])
 def test_banded_dense_rank_equals_the_plain_window(spark, bands):
-    """Hot values, NULL groups and values outside the bounds; one group holds most rows."""
+    """Hot values, NULL groups and negative values; one group holds most rows."""
     source = random.Random(3)
     rows = []
     for i in range(3000):
@@ -75,3 +75,10 @@ def test_banded_dense_rank_equals_the_plain_window(spark, bands):
     expected = {r["id"]: tuple(r) for r in plain.collect()}
     assert {r["id"]: tuple(r) for r in ours.select(plain.columns).collect()} == expected
     assert ours.count() == len(rows)
+
+
+def test_bands_follow_the_values(spark):
+    """Values far from any usual range, crowded at one end, still fill the bands evenly."""
+    values = spark.range(8000).select(F.lit("g").alias("g"), F.exp(F.col("id") / 500).alias("v"))
+    sizes = [r["count"] for r in _banded(values, ["g"], "v", 16).groupBy("_band").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 2 * 8000 / 16
