@@ -9,12 +9,17 @@ are only counted within cells: a cell is a run of the sorted values of several p
 offsets, in each of several tables. Tables and projections per cell follow from the wanted recall and the number of
 vectors. A pair that meets in several tables is counted in the first of them alone.
 
+Cells meet twice. First only the marks of the vectors do: their counted projections in whole steps, one byte each.
+A vector goes on in those cells alone where it collides often enough with some other, and only there its components
+travel, for the exact count and the verification. Steps are allowed for in the window, so no pair is lost by them.
+
 Equal vectors form a class that is compared once. A cell of any size is split into blocks, and each pair of blocks
 is a task of its own, so neither a crowded cell nor a large group of close vectors meets in one task.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from statistics import NormalDist
@@ -33,9 +38,11 @@ COUNTED = 24  # projections whose collisions are counted
 BLOCK = 1024  # vectors of a block
 CELL = 256  # vectors a cell should hold on average, if they were spread evenly
 MOST_TABLES = 256
+STEP = 0.05  # of the marks
 SEED = 20240517
 _U = np.uint64
 _HITS = "node long, links long, other long"
+_MET = "node long, cell long, t int, low int, high int, side int"
 
 
 def directions(n: int, width: int, seed: int) -> np.ndarray:
@@ -92,24 +99,99 @@ def unit(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return found, good
 
 
-def _cells(tables: int, r: int, width: float, seed: int):
+def cells_of(vectors: np.ndarray, lengths: np.ndarray, tables: int, r: int, width: float, seed: int) -> np.ndarray:
+    """The cell of each vector in each table; vectors of unequal length share none."""
+    lines = directions(tables * r, vectors.shape[1], seed)
+    shift = np.random.default_rng(seed + 1).random(tables * r)
+    runs = np.floor(vectors @ lines.T / width + shift).astype(np.int64).view(_U)
+    keys = np.empty((len(vectors), tables), _U)
+    for t in range(tables):
+        key = mix(lengths.astype(_U) * _U(tables) + _U(t))
+        for j in range(r):
+            key = mix(key ^ mix(runs[:, t * r + j]))
+        keys[:, t] = key
+    return keys.view(np.int64)
+
+
+def marks_of(vectors: np.ndarray, seed: int) -> np.ndarray:
+    """The counted projections in whole steps; those beyond the bytes' range count as its ends."""
+    lines = directions(COUNTED, vectors.shape[1], seed + 2)
+    return np.clip(np.rint(vectors @ lines.T / STEP), -127, 127).astype(np.int8)
+
+
+def _cells(tables: int, r: int, width: float, seed: int, marked: bool):
+    """Over (node, embedding, ...): the mark in place of the embedding and all after it, or every column; and the cells."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.random.default_rng(seed + 1).random(tables * r)
         for batch in batches:
-            vectors, _ = unit(batch.column(1))
             if not batch.num_rows:
                 continue
-            lines = directions(tables * r, vectors.shape[1], seed)
-            runs = np.floor(vectors @ lines.T / width + shift).astype(np.int64).view(_U)
-            keys = np.empty((len(vectors), tables), _U)
-            length = pa.compute.list_value_length(batch.column(1)).to_numpy().astype(_U)  # only equal lengths compare
-            for t in range(tables):
-                key = mix(length * _U(tables) + _U(t))
-                for j in range(r):
-                    key = mix(key ^ mix(runs[:, t * r + j]))
-                keys[:, t] = key
-            cells = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), tables).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], ["node", "embedding", "copies", "cells"])
+            vectors, _ = unit(batch.column(1))
+            lengths = pa.compute.list_value_length(batch.column(1)).to_numpy()
+            keys = cells_of(vectors, lengths, tables, r, width, seed)
+            cells = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), tables).cast(pa.list_(pa.int64()))
+            if marked:
+                marks = pa.array([row.tobytes() for row in marks_of(vectors, seed)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), marks, cells], ["node", "mark", "cells"])
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns, cells], [*batch.schema.names, "cells"])
+
+    return run
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(table, keys, cuts) of rows sorted by (cell, t, low, high): group i has keys[cuts[i]], rows cuts[i] to cuts[i + 1]."""
+    carried: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            table = pa.Table.from_batches([batch])
+            carried = table if carried is None else pa.concat_tables([carried, table])
+        if carried is None or not carried.num_rows:
+            continue
+        keys = np.stack([carried.column(c).to_numpy() for c in ("cell", "t", "low", "high")], 1).astype(np.int64)
+        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        cuts = np.concatenate([[0], edges, [len(keys)]])
+        if batch is not None:  # the last group may go on in the next batch
+            cuts = cuts[:-1]
+        if len(cuts) > 1:
+            yield carried.slice(0, int(cuts[-1])), keys, cuts
+            carried = carried.slice(int(cuts[-1]))
+
+
+def _meeting(half: float, least: int):
+    """Over marks sorted by (cell, t, low, high): the rows whose marks collide often enough with another's of their blocks."""
+    window = math.floor(half / STEP + 1 + 1e-9)  # each mark is off by half a step at most
+
+    def met(one: np.ndarray, two: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each row of one, and each of two, collides often enough with some row of the other block."""
+        left, right = np.zeros(len(one), bool), np.zeros(len(two), bool)
+        step = max(1, (1 << 20) // (COUNTED * max(1, len(two))))
+        for begin in range(0, len(one), step):
+            part = one[begin : begin + step]
+            often = (np.abs(part[:, None, :] - two[None, :, :]) <= window).sum(2, dtype=np.int8)
+            close = often >= least
+            if same:
+                rows = np.arange(len(part))
+                close[rows, begin + rows] = False
+            left[begin : begin + step] = close.any(1)
+            right |= close.any(0)
+        return left, right
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in _MET.split(", ")]
+        for table, keys, cuts in whole_groups(batches):
+            marks = np.frombuffer(b"".join(table.column("mark").to_pylist()), np.int8).reshape(-1, COUNTED).astype(np.int16)
+            side = table.column("side").to_numpy()
+            chosen = np.zeros(len(side), bool)
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                low, high = keys[begin, 2:]
+                own, place = side[begin:end], np.arange(begin, end)
+                one, two = place[own == low], place[own == high]
+                left, right = met(marks[one], marks[two], low == high)
+                chosen[one[left]] = True
+                chosen[two[right]] = True
+            if chosen.any():
+                yield from table.select(names).filter(pa.array(chosen)).to_batches()
 
     return run
 
@@ -162,44 +244,20 @@ def _compare(cosine: float, half: float, least: int, seed: int):
         return [(nodes[some], total[some], reached[some])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
-
-        def groups(table: pa.Table, last: bool) -> tuple[list, pa.Table | None]:
-            """Hits of the groups that are complete, and the rows of the one that may go on."""
-            names = ("cell", "t", "low", "high")
-            keys = np.stack([table.column(c).to_numpy() for c in names], 1).astype(np.int64)
-            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            cuts = np.concatenate([[0], edges, [len(keys)]])
-            if not last:
-                cuts = cuts[:-1]
-            if len(cuts) < 2:
-                return [], table
-            done = table.slice(0, int(cuts[-1]))
-            vectors, _ = unit(done.column("embedding").combine_chunks())
+        for table, keys, cuts in whole_groups(batches):
+            vectors, _ = unit(table.column("embedding").combine_chunks())
             lines = directions(COUNTED, vectors.shape[1], seed + 2)
-            met = done.column("cells").combine_chunks().flatten().to_numpy().reshape(len(vectors), -1)
-            rows = (done.column("node").to_numpy(), vectors, (vectors @ lines.T).astype(np.float32), done.column("copies").to_numpy(), met)
-            side = done.column("side").to_numpy()
+            met = table.column("cells").combine_chunks().flatten().to_numpy().reshape(len(vectors), -1)
+            rows = (table.column("node").to_numpy(), vectors, (vectors @ lines.T).astype(np.float32), table.column("copies").to_numpy(), met)
+            side = table.column("side").to_numpy()
             found = []
             for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
                 part = slice(int(begin), int(end))
                 found += one_group(tuple(keys[begin]), tuple(x[part] for x in rows), side[part])
-            return found, None if last else table.slice(int(cuts[-1]))
-
-        def sent(found: list) -> Iterator[pa.RecordBatch]:
             if found:
                 columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "links", "other"])
 
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if carried is None else pa.concat_tables([carried, table])
-            if table.num_rows:
-                found, carried = groups(table, False)
-                yield from sent(found)
-        if carried is not None and carried.num_rows:
-            yield from sent(groups(carried, True)[0])
-
     return run
 
 
@@ -222,21 +280,24 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, recall: float = RE
     # an id that stands for several vectors must not merge their comparisons: classes are numbered by content
     named = classes.select(F.xxhash64("embedding", "node").alias("node"), "embedding", "copies", F.col("node").alias("vec_id"))
     named = stored(named, "vectors")
-    celled = named.select("node", "embedding", "copies").mapInArrow(
-        _cells(tables, r, width, seed), f"node long, embedding {kind}, copies long, cells array<long>"
+    marked = named.select("node", "embedding").mapInArrow(
+        _cells(tables, r, width, seed, True), "node long, mark binary, cells array<long>"
     )
-    celled = stored(celled, "cells")
-    places = celled.select(F.posexplode("cells").alias("t", "cell"))
+    places = marked.select("node", "mark", F.posexplode("cells").alias("t", "cell"))
     crowd = places.groupBy("t", "cell").agg(F.count("*").alias("m")).where("m > 1")
     crowd = crowd.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    spread = celled.select("node", "embedding", "copies", "cells", F.posexplode("cells").alias("t", "cell"))
-    spread = spread.join(crowd, ["t", "cell"]).withColumn("side", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    spread = places.join(crowd, ["t", "cell"]).withColumn("side", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = spread.withColumn("mate", partner).select(
-        "node", "embedding", "copies", "cells", "t", "cell", "side",
-        F.least("side", "mate").alias("low"), F.greatest("side", "mate").alias("high"),
-    )
-    dealt = spread.repartition("cell", "t", "low", "high").sortWithinPartitions("cell", "t", "low", "high", "node")
+        "node", "mark", "cell", "t", F.least("side", "mate").alias("low"), F.greatest("side", "mate").alias("high"), "side"
+    )
+    group = ["cell", "t", "low", "high"]
+    met = stored(spread.repartition(*group).sortWithinPartitions(*group).mapInArrow(_meeting(half, least), _MET), "met")
+    some = named.select("node", "embedding", "copies").join(met.select("node").distinct(), "node", "left_semi")
+    celled = some.mapInArrow(
+        _cells(tables, r, width, seed, False), f"node long, embedding {kind}, copies long, cells array<long>"
+    )
+    dealt = met.join(celled, "node").repartition(*group).sortWithinPartitions(*group, "node")
     hits = stored(dealt.mapInArrow(_compare(cosine, half, least, seed), _HITS), "hits")
     counted = hits.groupBy("node").agg(F.sum("links").alias("links"))
     both = components(hits.select(F.col("node").alias("a"), F.col("other").alias("b")), "vectors")

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -142,6 +143,26 @@ def test_a_crowded_cell_is_split_and_loses_no_link(llm, monkeypatch):
     assert {(r.n_links, r.component_id) for r in found if r.vec_id < 200} == {(149, 0)}
 
 
+def test_marks_lose_no_pair_that_the_projections_count():
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((40, 16))
+    found = (base[:, None] + rng.random((40, 6, 1)) * 0.5 * rng.standard_normal((40, 6, 16))).reshape(-1, 16)
+    found /= np.linalg.norm(found, axis=1)[:, None]
+    half, least = embeddings.window(0.95, embeddings.RECALL)
+    lines = embeddings.directions(embeddings.COUNTED, 16, embeddings.SEED + 2)
+    values = (found @ lines.T).astype(np.float32)
+    close = (np.abs(values[:, None] - values[None]) <= half).sum(2) >= least
+    np.fill_diagonal(close, False)
+    rows = [(i, 7, 0, low, high, i % 2, embeddings.marks_of(found[i : i + 1], embeddings.SEED)[0].tobytes())
+            for low, high in ((0, 0), (0, 1), (1, 1)) for i in range(len(found)) if i % 2 in (low, high)]
+    names = ["node", "cell", "t", "low", "high", "side", "mark"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    parts = [batch.slice(a, 50) for a in range(0, batch.num_rows, 50)]
+    met = {i for part in embeddings._meeting(half, least)(iter(parts)) for i in part.column(0).to_pylist()}
+    assert set(np.flatnonzero(close.any(1)).tolist()) <= met
+    assert len(met) < len(found) or close.any(1).all()
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 BASE = (
     ("assign", ASSIGN, lambda m: len(m[2]) >= 8),
