@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from indicator_lake.llm import vectors
-from indicator_lake.llm.tables import components, stored
+from indicator_lake.llm.tables import components, stored, unused
 from indicator_lake.llm.words import mix, sliced, windows
 
 BUCKETS = 1 << 18  # of the token count; fixed, so its broadcast never grows
@@ -206,5 +206,6 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Of rows that share such an id all stay. Columns and their order are those of docs.
     """
     found = similarity_components(docs, k, percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    own = unused(docs, "gone")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[own], "left_anti")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from indicator_lake.llm.tables import stored
+from indicator_lake.llm.tables import quoted, stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -170,13 +170,15 @@ def mixture(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the columns of docs."""
-    found = copies(docs, seed).select(
-        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
-    )
+    own = {c: unused(docs, c) for c in ("id", "tag", "origin", "copies", "copy")}
+    found = copies(docs, seed).where("copies > 0").select(
+        F.col("doc_id").alias(own["id"]), F.col("tag").alias(own["tag"]), F.col("source").alias(own["origin"]),
+        F.sequence(F.lit(1), F.col("copies")).alias(own["copies"]),
+    )
     same = (
-        docs["doc_id"].cast("long").eqNullSafe(found["_id"])
-        & (F.xxhash64(docs["source"], docs["text"]) == found["_tag"])
-        & docs["source"].cast("string").eqNullSafe(found["_source"])
+        docs["doc_id"].cast("long").eqNullSafe(found[own["id"]])
+        & (F.xxhash64(docs["source"], docs["text"]) == found[own["tag"]])
+        & docs["source"].cast("string").eqNullSafe(found[own["origin"]])
     )
-    both = docs.join(found.where("_copies > 0"), same)
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    both = docs.join(found, same).withColumn(own["copy"], F.explode(own["copies"]))
+    return both.select(*map(quoted, docs.columns))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicator_lake.llm.tables import quoted, unused
+
 # The patterns of the base kinds, in the order in which kinds at the same place are listed.
 ASSIGN = (
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
@@ -140,16 +142,16 @@ def without_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFra
 
     No row goes; a null text stays null; all other columns stay as they are.
     """
-    versions = docs.withColumn("_blob", blob_of(F.col("text")))
     entries = new_entries(docs, ledger)
     if ledger is not None:
         entries = entries.union(ledger.where(F.col("rules_version") == RULES_VERSION).select(*entries.columns))
-    hits = entries.where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    both = versions.join(hits, "_blob", "left").withColumn("_clean", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        masked(F.col("text"), F.col("_spans"))
-    ))
-    changed = {"text": F.col("_clean")}
+    own = {c: unused(docs, c) for c in ("blob", "spans", "clean")}
+    hits = entries.where(F.size("spans") > 0).select(F.col("blob").alias(own["blob"]), F.col("spans").alias(own["spans"]))
+    spans = F.col(own["spans"])
+    both = docs.withColumn(own["blob"], blob_of(F.col("text"))).join(hits, own["blob"], "left")
+    both = both.withColumn(own["clean"], F.when(spans.isNull(), F.col("text")).otherwise(masked(F.col("text"), spans)))
+    changed = {"text": F.col(own["clean"])}
     if "n_chars" in docs.columns:
-        size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_clean"))
+        size = F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length(own["clean"]))
         changed["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
-    return both.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+    return both.select(*(changed[c].alias(c) if c in changed else F.col(quoted(c)) for c in docs.columns))

@@ -20,6 +20,19 @@ def one_of(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that df does not have, in either case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name as it stands in an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable over undirected links (a, b), for every node with a link.
 

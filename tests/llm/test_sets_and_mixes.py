@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from indicator_lake.llm import embeddings, jaccard, mixing, packing, secrets
 from indicator_lake.llm.tables import components
@@ -331,3 +332,24 @@ def test_step_groups_cost_alike(documents):
         size[row.step_group].add(row.sequence_id)
     means = [cost[g] / len(size[g]) for g in cost]
     assert len(means) > 1 and max(means) < 1.3 * min(means)
+
+
+def test_no_name_of_an_extra_column_clashes(documents):
+    texts = ["a secret=abcdefgh z", None, "one two three", "one two three", ""]
+    docs = documents([(i, t, "a") for i, t in enumerate(texts)])
+    extra = "_blob _spans _clean _gone _id _tag _source _copies _copy tag origin copies gone spans clean id component_id a.b".split()
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in extra})
+    clean = secrets.without_secrets(docs)
+    assert clean.columns == docs.columns and clean.count() == 5
+    for kept in (clean, jaccard.one_of_each(docs), mixing.mixed(docs)):
+        assert kept.columns == docs.columns
+        for row in kept.collect():
+            assert all(row[name] == f"{name}{row.doc_id}" for name in extra)
+    assert sorted(r.doc_id for r in jaccard.one_of_each(docs).collect()) == [0, 1, 2, 4]
+
+
+def test_a_token_of_many_groups_keeps_every_link(documents):
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts = [f"{shared} x{i}" for i in range(40)] + [f"{shared} " + " ".join(f"y{i}_{j}" for j in range(30)) for i in range(40)]
+    found = {r.doc_id: r.component_id for r in jaccard.similarity_components(documents(list(enumerate(texts)))).collect()}
+    assert found == {i: 0 if i < 40 else i for i in range(80)}
