@@ -1,9 +1,15 @@
 """Quality rules: countable page rules and a log-likelihood ratio of hashed n-grams.
 
 The ratio compares a multinomial over hashed one- and two-word runs of trusted documents with that of the whole
-corpus: score = sum over the document's n-grams of log p(trusted) - log p(corpus), divided by their number. A
-document passes at ``threshold`` or above. The corpus is counted over all documents, the
-trusted multinomial over at most ``MOST_TRUSTED`` labelled ones, drawn by a hash.
+corpus: ratio = sum over the document's n-grams of log p(trusted) - log p(corpus), divided by their number. The corpus
+is counted over all documents, the trusted multinomial over at most ``MOST_TRUSTED`` labelled ones, drawn by a hash.
+Texts are dealt into ``FOLDS`` by their words, and a text meets the trusted texts of the other folds only: so no score
+rests on the document's own label, and labelled scores tell what unlabelled documents get.
+
+The cut comes from the labels: of all ratios, the one that keeps the largest share of the trusted documents and
+rejects the largest share of those labelled bad (the two shares added). A score is the ratio moved so that this cut
+stands at ``THRESHOLD``, and a document passes at ``threshold`` or above. Every count enters as a share of another, so
+a table repeated any number of times gets the same verdicts.
 """
 
 from __future__ import annotations
@@ -16,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicator_lake.llm import vectors
-from indicator_lake.llm.words import Texts, sliced, windows
+from indicator_lake.llm.tables import stored
+from indicator_lake.llm.words import Texts, mix, sliced, windows
 
 BUCKETS = 1 << 16
 MOST_TRUSTED = 50_000  # labelled documents that the trusted multinomial is fitted on
-THRESHOLD = -0.07  # nats per n-gram
-PRIOR = 200.0  # n-grams added to each bucket, so that runs few documents have say little either way
+THRESHOLD = -0.07  # nats per n-gram; also the cut itself where the labels lack trusted or bad documents
+PRIOR_SHARE = 0.3  # of a bucket's mean count, added to each bucket, so that runs few documents have say little either way
+FOLDS = 8
+STEPS = 1024  # steps of a nat in which the cut is looked for
 SCALE = 1 << 20  # gains are whole numbers of this fraction, so that sums do not depend on their order
 WINDOW = 8
 MIN_WORDS = 20
@@ -73,6 +82,8 @@ class Grams:
     def __init__(self, texts: Texts):
         words = texts.word_hashes()
         self.bounds = texts.bounds
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words, dtype=np.uint64)])[self.bounds]
+        self.folds = (mix(np.diff(total)) % np.uint64(FOLDS)).astype(np.int64)  # equal texts share a fold
         self.one = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
         self.two = (windows(words, 2) & np.uint64(BUCKETS - 1)).astype(np.int64)
         self.inside = np.ones(len(self.two), bool)
@@ -86,26 +97,29 @@ class Grams:
         return np.bincount(both, minlength=BUCKETS)
 
     def means(self, gain: np.ndarray) -> np.ndarray:
-        """Mean of whole-number gains over each text's n-grams; 0 without words. The same in any batch."""
-        each = gain[self.one]
-        each[: len(self.two)] += np.where(self.inside, gain[self.two], 0)
+        """Mean of whole-number gains (by fold, then bucket) over each text's n-grams; 0 without words. The same in any batch."""
+        first = np.repeat(self.folds * BUCKETS, np.diff(self.bounds))
+        each = gain[first + self.one]
+        each[: len(self.two)] += np.where(self.inside, gain[first[: len(self.two)] + self.two], 0)
         total = np.concatenate([[0], np.cumsum(each)])[self.bounds]
         n = np.diff(self.bounds)
         return np.diff(total) / np.maximum(2 * n - 1, 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = np.zeros(2 * BUCKETS)
+    found = np.zeros((1 + FOLDS) * BUCKETS)
     for batch in batches:
         trusted = batch.column(1).to_numpy(zero_copy_only=False)
         for row, texts in sliced(batch.column(0)):
             grams = Grams(texts)
             found[:BUCKETS] += grams.counts(np.ones(texts.n, bool))
-            found[BUCKETS:] += grams.counts(trusted[row : row + texts.n])
+            good = trusted[row : row + texts.n]
+            for fold in np.unique(grams.folds[good]):
+                found[(1 + fold) * BUCKETS : (2 + fold) * BUCKETS] += grams.counts(good & (grams.folds == fold))
     yield from vectors.parts(found)
 
 
-def _judge(ratio, threshold: float):
+def _judge(ratio, shift: float = 0.0, threshold: float = -np.inf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = np.round(ratio.value * SCALE).astype(np.int64)
         for batch in batches:
@@ -114,9 +128,10 @@ def _judge(ratio, threshold: float):
                 words, bounds = texts.word_hashes(), texts.bounds
                 chars = texts.per_text(texts.word & ((texts.data & 0xC0) != 0x80))
                 symbols, lines = texts.per_text(_SYMBOL[texts.data]), repeated_lines(texts)
-                scores = Grams(texts).means(gain) / SCALE
+                scores = Grams(texts).means(gain) / SCALE + shift
                 again = np.array([repeated_words(words[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
                 n = np.diff(bounds)
+                scores[n == 0] = 0
                 failed = (n < MIN_WORDS) | (100 * again > MAX_REPEAT_PERCENT * n)
                 kept = ~failed & (scores >= threshold)
                 for column, values in zip(columns, (n, chars, symbols, lines, again, failed, kept, scores), strict=True):
@@ -137,17 +152,54 @@ def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
 
 
 def gains(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """log p(trusted) - log p(corpus) for each bucket; zeros when there is no trusted n-gram."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    """log p(trusted of the other folds) - log p(corpus) for each fold and bucket; zeros when there is no trusted n-gram."""
     # at most MOST_TRUSTED ids: bounded, so texts need no shuffle to meet them
-    flagged = texts.join(F.broadcast(trusted.withColumn("good", F.lit(True))), "doc_id", "left")
+    flagged = _texts(docs).join(F.broadcast(trusted.withColumn("good", F.lit(True))), "doc_id", "left")
     flagged = flagged.select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    found = vectors.total(flagged.mapInArrow(_count, vectors.PART), 2 * BUCKETS)
-    corpus, target = found[:BUCKETS], found[BUCKETS:]
+    found = vectors.total(flagged.mapInArrow(_count, vectors.PART), (1 + FOLDS) * BUCKETS).reshape(1 + FOLDS, BUCKETS)
+    corpus, target = found[0], found[1:].sum(axis=0) - found[1:]
+    target[target.sum(axis=1) == 0] = found[1:].sum(axis=0)  # all trusted texts in one fold
     if not target.sum():
-        return np.zeros(BUCKETS)
-    share = target.sum() / corpus.sum()
-    return np.log((target + PRIOR * share) / (corpus + PRIOR)) - np.log(share)
+        return np.zeros(FOLDS * BUCKETS)
+    share = target.sum(axis=1, keepdims=True) / corpus.sum()
+    prior = PRIOR_SHARE * corpus.sum() / BUCKETS
+    return (np.log((target + prior * share) / (corpus + prior)) - np.log(share)).ravel()
+
+
+def best_cut(steps: list[tuple[int, int, int]]) -> float | None:
+    """The cut by (step, trusted documents, bad documents) of labelled ratios, halfway between the two steps it parts.
+
+    None when there are no trusted or no bad documents.
+    """
+    all_good, all_bad = sum(g for _, g, _ in steps), sum(b for _, _, b in steps)
+    if not all_good or not all_bad:
+        return None
+    cut, best, before = None, -1, None
+    value = all_good * all_bad  # both shares on one denominator, in whole numbers
+    for step, good, bad in sorted(steps):
+        if value > best:  # a cut below this step is better than all before
+            best, cut = value, step if before is None else (before + 1 + step) / 2
+        value += bad * all_good - good * all_bad
+        before = step
+    return cut / STEPS
+
+
+def cut_shift(judged: DataFrame, labels: DataFrame) -> float:
+    """What to add to the ratios (doc_id, base_failed, score) so that the cut of all labelled ones stands at THRESHOLD."""
+    one = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    marks = one.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).select(
+        "doc_id", F.coalesce(F.expr("int(q = 1 and t = 0)"), F.lit(0)).alias("good"), F.coalesce(F.expr("int(q = 0)"), F.lit(0)).alias("bad")
+    )
+    ratios = judged.where("not base_failed").groupBy("doc_id", F.floor(F.col("score") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    both = ratios.join(marks.where("good + bad > 0"), "doc_id")
+    # one row per step of a bounded range: gains lie within the logarithm of the buckets and of the trusted share
+    rows = both.groupBy("step").agg(F.sum(F.col("n") * F.col("good")).alias("good"), F.sum(F.col("n") * F.col("bad")).alias("bad")).collect()
+    cut = best_cut([(r["step"], r["good"], r["bad"]) for r in rows])
+    return 0.0 if cut is None else THRESHOLD - cut
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -158,8 +210,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """
     spark = docs.sparkSession
     gain = spark.sparkContext.broadcast(gains(docs, trusted_ids(labels)))
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(_judge(gain, threshold), _SCHEMA)
+    judged = stored(_texts(docs).mapInArrow(_judge(gain), _SCHEMA), "judged")
+    score = F.when(F.col("n_words") > 0, F.col("score") + F.lit(cut_shift(judged, labels))).otherwise(0.0)
+    judged = judged.withColumn("score", score)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def passing(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -169,9 +223,10 @@ def passing(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """
     spark = docs.sparkSession
     gain = spark.sparkContext.broadcast(gains(docs, trusted_ids(labels)))
+    shift = cut_shift(_texts(docs).mapInArrow(_judge(gain), _SCHEMA), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = _judge(gain, threshold)
+        judge = _judge(gain, shift, threshold)
         for batch in batches:
             ids = pa.array(range(batch.num_rows), pa.int64())
             text = batch.column(batch.schema.get_field_index("text"))

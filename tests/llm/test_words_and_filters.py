@@ -75,6 +75,34 @@ def test_quality_ratio_keeps_clean_and_rejects_noise(llm, documents):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in rows if rows[i].kept}
 
 
+def test_quality_verdicts_do_not_depend_on_the_table_size(llm, documents):
+    rng = random.Random(8)
+    clean = lambda: rng.choice(["the", "of", "and", "to", "in"]) + rng.choice("abcdefgh")
+    noise = lambda: f"{rng.choice('QWERTZ')}{rng.choice('xyz')}!!"
+    texts = [" ".join(noise() if rng.random() < share else clean() for _ in range(60)) for share in [0] * 50 + [0.2] * 10 + [0.6] * 20]
+    marks = [(i, int(i < 50), 0) for i in range(0, 80, 2) if not 50 <= i < 60]
+    found = []
+    for times in (1, 100):
+        docs = documents([(100 * i + k, t) for i, t in enumerate(texts) for k in range(times)])
+        labels = llm.createDataFrame([(100 * i + k, q, t) for i, q, t in marks for k in range(times)], "doc_id long, quality int, toxic int")
+        rows = quality.quality_rules(docs, labels).collect()
+        found.append({(r.doc_id // 100, r.kept, round(r.score, 5)) for r in rows})
+        kept = {i for i, k, _ in found[-1] if k}
+        assert len(found[-1]) == len(texts) and kept >= set(range(50)) and not kept & set(range(60, 80))
+        assert {r.doc_id for r in quality.passing(docs, labels).collect()} == {r.doc_id for r in rows if r.kept}
+    assert found[0] == found[1]
+
+
+def test_quality_cut_is_the_best_of_all_labelled_scores():
+    rng = random.Random(4)
+    for _ in range(50):
+        steps = [(s, rng.randint(0, 4), rng.randint(0, 4)) for s in rng.sample(range(-40, 40), 12)]
+        good, bad = sum(s[1] for s in steps), sum(s[2] for s in steps)
+        worth = lambda cut: sum(g for s, g, _ in steps if s / quality.STEPS >= cut) * bad + sum(b for s, _, b in steps if s / quality.STEPS < cut) * good  # noqa: E731, B023
+        assert worth(quality.best_cut(steps)) == max(worth(s / quality.STEPS) for s in range(-41, 42))
+    assert quality.best_cut([(0, 3, 0)]) is None and quality.best_cut([]) is None
+
+
 def test_quality_of_empty_tables(llm, documents):
     labels = llm.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality_rules(documents([]), labels).count() == 0
