@@ -7,6 +7,9 @@ importance are removed from each page. Elements whose tag or class says that the
 like never belong to the article, whatever their entropy, and what stands in an article or main element is never
 removed for repeating: whole articles are copied too.
 
+The tree counts pages: what a node says on a page is all its blocks there together, and pages of a host with the same
+blocks are one page. Pages without a host belong to no site; they stay out of the tree and lose nothing to it.
+
 The tree is a pair of grouped counts by (host, node); no host's pages meet in one task.
 """
 
@@ -59,7 +62,7 @@ _SPACE = re.compile(r"\s+")
 
 _IN_ARTICLE = re.compile(r"(^|/)(article|main)([./]|$)")
 
-_NODES = "host string, row long, node long, parent long, style long, content long, in_article boolean"
+_NODES = "host string, row long, page long, node long, parent long, style long, content long, in_article boolean"
 _TEXTS = "page_id long, url string, row long, parts array<struct<node: long, text: string>>"
 
 
@@ -157,16 +160,21 @@ def _place(node: str, style: str) -> tuple[int, int, int, bool]:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row of hashes for each block that may belong to the article."""
+    """A row of hashes for each node of a page that may belong to the article; page is the hash of all these blocks."""
     names = [f.split()[0] for f in _NODES.split(", ")]
-    kinds = [pa.string(), *[pa.int64()] * 5, pa.bool_()]
+    kinds = [pa.string(), *[pa.int64()] * 6, pa.bool_()]
     for batch in batches:
         rows: list[tuple] = []
         for host, row, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            said: dict[tuple, list[str]] = {}
+            order = []
             for node, style, text, dropped in blocks(html):
                 if not dropped:
-                    at, above, look, in_article = _place(node, style)
-                    rows.append((host, row, at, above, look, _hash(text), in_article))
+                    place = _place(node, style)
+                    said.setdefault(place, []).append(text)
+                    order.append(f"{place[0]} {text}")
+            page = _hash("\n".join(order))  # a block's text holds no line feed
+            rows += [(host, row, page, *place[:3], _hash("\n".join(texts)), place[3]) for place, texts in said.items()]
             if len(rows) > 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                 rows = []
@@ -203,11 +211,12 @@ def _entropy(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """(host, node, importance, pages) for the nodes outside articles that enough pages of their host hold.
+    """(host, node, importance, pages) for the nodes outside articles that enough different pages of their host hold.
 
     Importance is the entropy of the node's content over the pages, with a share of the entropy of the styles that
     stand beside it under its parent. Nodes are known by the hash of their path.
     """
+    nodes = nodes.drop("row").distinct()  # equal pages of a host are one
     texts = nodes.where("not in_article").groupBy("host", "parent", "node", "content").agg(F.count("*").alias("n"))
     content = _entropy(texts, ["host", "parent", "node"])
     styles = nodes.groupBy("host", "parent", "style").agg(F.count("*").alias("n"))
@@ -228,7 +237,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
-    nodes = stored(rows.select(host_of(F.col("url")).alias("host"), "row", "html").mapInArrow(_nodes, _NODES), "nodes")
+    sites = rows.select(host_of(F.col("url")).alias("host"), "row", "html").where("host <> ''")
+    nodes = stored(sites.mapInArrow(_nodes, _NODES), "nodes")
     low = style_tree(nodes).where(F.col("importance") < LOW_IMPORTANCE).select("host", "node")
     lost = nodes.where("not in_article").join(low, ["host", "node"], "left_semi")
     lost = lost.groupBy("row").agg(F.collect_set("node").alias("lost"))  # at most the nodes of one page

@@ -61,6 +61,30 @@ def test_what_a_site_repeats_goes_and_what_varies_stays(llm):
     assert all(found[200 + i] == "Copied article" for i in range(30))
 
 
+def test_one_page_alone_is_no_site(llm):
+    cells = "".join(f"<tr><td>{'yes' if i % 2 else 'no'}</td></tr>" for i in range(1000))
+    items = "".join(f"<li>{'same' if 1 < i else f'own {i}'}</li>" for i in range(40))
+    rows = [(1, "http://lone.example/", f"<html><body><table>{cells}</table><ul>{items}</ul></body></html>")]
+    rows += [(2 + i, "http://few.example/", f"<html><body><div class='strap'><p>Twice</p><p>Twice</p></div><p>{i}</p></body></html>") for i in range(7)]
+    found = {r.page_id: r.text.split("\n") for r in style_tree.main_text(pages(llm, rows)).collect()}
+    assert found[1] == ["no", "yes"] * 500 + ["own 0", "own 1"] + ["same"] * 38
+    assert all(found[2 + i] == ["Twice", "Twice", str(i)] for i in range(7))  # 14 blocks, but fewer pages than MIN_PAGES
+
+
+def test_copied_pages_without_an_article_stay(llm):
+    story = "<html><body><nav>{}</nav><div class='strap'><p>Site words</p></div><div class='story'><p>{}</p></div></body></html>"
+    rows = [(i, f"http://copies.example/{i}", story.format(i, "Copied text")) for i in range(180)]
+    rows += [(i, f"http://copies.example/{i}", story.format(0, f"Own {i}")) for i in range(180, 200)]
+    found = {r.page_id: r.text for r in style_tree.main_text(pages(llm, rows)).collect()}
+    assert all(found[i] == "Copied text" for i in range(180))
+    assert all(found[i] == f"Own {i}" for i in range(180, 200))
+
+
+def test_pages_without_a_host_are_no_site(llm):
+    rows = [(i, [None, "", "not a url"][i % 3], f"<body><div class='strap'><p>Same words</p></div><p>Own {i}</p></body>") for i in range(30)]
+    assert {r.text for r in style_tree.main_text(pages(llm, rows)).collect()} == {f"Same words\nOwn {i}" for i in range(30)}
+
+
 def test_derivatives_link_back_and_round_trip(llm):
     html = "<html><head><title>A &amp; b</title></head><body><script>x</script><p>One<br>two</p><a href='/x?a=1&amp;b=2'>l</a></body></html>"
     rows = [(1, "http://a.example/1", html), (1, "http://a.example/1", html), (2, None, None), (None, "http://b.example", "")]
