@@ -34,7 +34,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
     ship(spark)
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), encode_special_tokens=False)
 
 
 STAGES = [

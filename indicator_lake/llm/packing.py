@@ -52,30 +52,40 @@ def _encoder(path: str):
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        whole = json.load(file)
+    vocabulary, added = whole["model"]["vocab"], whole.get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take in more or less than their own characters are not supported")
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in printable}
     letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
     ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if all(c in letters for c in token)}
-    # the closing special token is plain text here, as its characters
-    ranks.pop(b"<|endoftext|>", None)
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = {t["content"]: t["id"] for t in added}
+    for content in tokens:  # no merge makes an added token
+        ranks.pop(content.encode(), None)
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=tokens)
 
 
-def encode(path: str, text: str | None) -> np.ndarray:
-    """The ids of a text (null: none) and the closing id."""
-    ids = _encoder(path).encode_ordinary(text) if text else []
+def encode(path: str, text: str | None, encode_special_tokens: bool = True) -> np.ndarray:
+    """The ids of a text (null: none) and the closing id.
+
+    ``encode_special_tokens`` is that of ``tokenizers``: true takes the file's added tokens as plain characters, false
+    (the library's own default, and what the queries use) splits texts at them and gives their ids.
+    """
+    ids = []
+    if text:
+        ids = _encoder(path).encode_ordinary(text) if encode_special_tokens else _encoder(path).encode(text, allowed_special="all")
     return np.array([*ids, END], "<u4")
 
 
-def _cut(path: str, context: int):
+def _cut(path: str, context: int, encode_special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _PIECES.split(", ")]
         kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
         for batch in batches:
             rows: list[tuple] = []
             for doc, text, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(path, text)
+                ids = encode(path, text, encode_special_tokens)
                 whole = len(ids) // context * context
                 for start in range(0, whole, context):
                     rows.append((doc, start, len(ids), context, zlib.crc32(ids[start : start + context]), None, place))
@@ -203,12 +213,14 @@ def _pack(context: int, chunk: int, group: int):
     return run
 
 
-def packed(docs: DataFrame, tokenizer: str, context: int = CONTEXT, docs_per_task: int = DOCS_PER_TASK) -> DataFrame:
+def packed(
+    docs: DataFrame, tokenizer: str, context: int = CONTEXT, docs_per_task: int = DOCS_PER_TASK, encode_special_tokens: bool = True
+) -> DataFrame:
     """One row per piece of docs (doc_id, text).
 
     ids_crc32 is over the piece's ids as little-endian unsigned 32-bit numbers; offset is the piece's place in its
     sequence; sequence_length is the sequence's tokens and tier the context size that holds it. A null or empty text
-    is its closing id alone. Equal rows are separate documents. Other columns of docs are ignored. The number of
+    is its closing id alone. ``encode_special_tokens`` is as in ``encode``. Equal rows are separate documents. Other columns of docs are ignored. The number of
     tasks follows the number of rows, so each packs a bounded share; results are the same in every run over the
     same rows and number of tasks.
     """
@@ -217,6 +229,6 @@ def packed(docs: DataFrame, tokenizer: str, context: int = CONTEXT, docs_per_tas
     tasks = max(1, -(-docs.count() // docs_per_task))
     place = F.xxhash64("doc_id", "text").alias("place")
     pieces = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), place)
-    pieces = pieces.mapInArrow(_cut(tokenizer, context), _PIECES)
+    pieces = pieces.mapInArrow(_cut(tokenizer, context, encode_special_tokens), _PIECES)
     dealt = pieces.repartition(tasks, "place", "start").sortWithinPartitions("place", "doc_id", "start")
     return dealt.drop("place").mapInArrow(_pack(context, CHUNK, GROUP), _SCHEMA)

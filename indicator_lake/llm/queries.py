@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), encode_special_tokens=False)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

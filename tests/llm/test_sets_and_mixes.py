@@ -317,6 +317,27 @@ def test_pieces_hold_every_id_once_without_padding(documents):
     assert packing.packed(documents([]), PATH).count() == 0
 
 
+def test_queries_split_texts_at_added_tokens_as_the_library_does(llm, documents, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from indicator_lake.llm import queries
+
+    tokenizer = Tokenizer.from_file(PATH)
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark * 3, f"it's {mark}  y\n{mark}\n ", mark[:-1], f"é  {mark[:-2]}{mark}", "plain  text ", f"{'word ' * 3000}{mark}"]
+    documents(list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = llm.read.parquet(f"{tmp_path}/documents.parquet")
+    for found in (queries.op1_packing(llm, str(tmp_path)), corpus_pipeline.packing_sequences(llm, docs, str(tmp_path))):
+        rows = found.collect()
+        for i, text in enumerate(texts):
+            ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+            own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+            assert sum(r.length for r in own) == len(ids)
+            for r in own:
+                assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
 def test_rests_of_one_length_fill_windows():
     rests = [(i, 0, 1100, bytes(4 * 1100)) for i in range(100)]
     full, left = packing.pack_rests(rests, 2048)
