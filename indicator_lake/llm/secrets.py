@@ -27,6 +27,12 @@ KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"  # not a base kind
 BASE_KINDS = ("assign", "access", "hex")
 RULES = (("assign", ASSIGN, 8), ("access", ACCESS, 0), ("hex", HEX, 0), ("keyblock", KEY_BLOCK, 0))
 RULES_VERSION = "rules-1"
+
+# What follows a private key's header: all up to its END line, else PEM fields and base64 lines. Repeats are possessive,
+# so that a long key needs no deep stack.
+KEY_END = r"(?s)\A.*?-----END [A-Z ]*PRIVATE KEY-----"
+_GAP = r"(?:\s|\\[rn])++"
+KEY_BODY = rf"\A(?:{_GAP}(?:Proc-Type|DEK-Info):[^\n]*+)*+(?:{_GAP}[A-Za-z0-9+/]{{16,}}+=*+)*+(?:{_GAP}[A-Za-z0-9+/]++=++)?"
 MASK = "[SECRET]"
 
 _SPAN = "array<struct<start: bigint, kind: int, end: bigint>>"
@@ -116,8 +122,23 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def whole_keys(text: Column, spans: Column) -> Column:
+    """Spans with those of private key headers drawn out over the key itself."""
+    header = [name for name, _, _ in RULES].index("keyblock")
+
+    def drawn(s: Column) -> Column:
+        rest = F.substring_index(F.substr(text, (s["end"] + 1).cast("int")), "-----BEGIN ", 1)
+        closed = F.length(F.regexp_extract(rest, KEY_END, 0))
+        more = F.when(closed > 0, closed).otherwise(F.length(F.regexp_extract(rest, KEY_BODY, 0)))
+        end = F.when(s["kind"] == header, s["end"] + more).otherwise(s["end"])
+        return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), end.alias("end"))
+
+    return F.transform(spans, drawn)
+
+
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span, overlapping ones together, replaced by a mark."""
+    """The text with every span, overlapping ones together and private keys whole, replaced by a mark."""
+    spans = whole_keys(text, spans)
     nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
 
     def merge(acc: Column, s: Column) -> Column:

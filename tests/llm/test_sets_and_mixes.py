@@ -355,6 +355,24 @@ def test_step_groups_cost_alike(documents):
     assert len(means) > 1 and max(means) < 1.3 * min(means)
 
 
+def test_private_keys_are_masked_whole(documents):
+    rng = random.Random(6)
+    line = lambda n=64: "".join(rng.choice("ABCDEFabcdefXYZxyz0189+/") for _ in range(n))
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(line() for _ in range(25)) + "\n" + line(30) + "=="
+    texts = {
+        f"é a {head}\n{body}\n{foot} z": "é a [SECRET] z",
+        f"a {head}\n{body}\nThen some words.": "a [SECRET]\nThen some words.",
+        f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES\n\n{body}\n": "[SECRET]\n",
+        f"{head}\n{body}\nb {head}\n{body}\n{foot}": "[SECRET]\nb [SECRET]",
+        f"k='{head}\\n{line(200)}\\n{foot}'": "k='[SECRET]'",
+        f"{head} is how a key starts": "[SECRET] is how a key starts",
+        head + "\n" + "\n".join(line() for _ in range(20_000)): "[SECRET]",
+    }
+    rows = secrets.without_secrets(documents(list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(texts.values()))
+
+
 def test_no_name_of_an_extra_column_clashes(documents):
     texts = ["a secret=abcdefgh z", None, "one two three", "one two three", ""]
     docs = documents([(i, t, "a") for i, t in enumerate(texts)])
