@@ -27,7 +27,7 @@ from indicator_lake.llm.words import Texts, mix, sliced, windows
 
 BUCKETS = 1 << 16
 MOST_TRUSTED = 50_000  # labelled documents that the trusted multinomial is fitted on
-THRESHOLD = -0.07  # nats per n-gram; also the cut itself where the labels lack trusted or bad documents
+THRESHOLD = -0.07  # nats per n-gram; also the cut itself where no labelled document is trusted
 PRIOR_SHARE = 0.3  # of a bucket's mean count, added to each bucket, so that runs few documents have say little either way
 FOLDS = 8
 STEPS = 1024  # steps of a nat in which the cut is looked for
@@ -195,6 +195,9 @@ def cut_shift(judged: DataFrame, labels: DataFrame) -> float:
     # one row per step of a bounded range: gains lie within the logarithm of the buckets and of the trusted share
     rows = both.groupBy("step").agg(F.sum(F.col("n") * F.col("good")).alias("good"), F.sum(F.col("n") * F.col("bad")).alias("bad")).collect()
     cut = best_cut([(r["step"], r["good"], r["bad"]) for r in rows])
+    trusted = [r["step"] for r in rows if r["good"]]
+    if cut is None and trusted:  # no bad label: as far below the lowest trusted ratio as the trusted ones are apart
+        cut = (2 * min(trusted) - max(trusted)) / STEPS
     return 0.0 if cut is None else THRESHOLD - cut
 
 
