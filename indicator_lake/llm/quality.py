@@ -66,8 +66,8 @@ def repeated_lines(texts: Texts) -> np.ndarray:
     first[1:][data == 0x0A] = True
     first[offsets[:-1]] = True
     starts = np.flatnonzero(first[: len(data)])
-    ends = np.append(starts[1:], len(data))
-    ends = ends - (data[ends - 1] == 0x0A) if len(ends) else ends
+    ends = np.append(starts[1:], len(data))[: len(starts)]  # texts may all be empty
+    ends = ends - (data[ends - 1] == 0x0A)
     seen = np.concatenate([[0], np.cumsum(texts.word)])
     worded = seen[ends] > seen[starts]
     starts, ends = starts[worded], ends[worded]

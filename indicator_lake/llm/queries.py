@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from indicator_lake.llm import cotraining, embeddings, jaccard, mixing, packing, quality, secrets, style_tree, token_counts, warc
+from pyspark.sql import functions as F
+
+from indicator_lake.llm import (
+    byte_pairs,
+    cotraining,
+    embeddings,
+    interactions,
+    jaccard,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    secrets,
+    style_tree,
+    token_counts,
+    warc,
+)
 from indicator_lake.llm.shipping import ship
 
 
@@ -55,11 +70,26 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivative_digests(_table(spark, sf_dir, "pages"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.prepared(_table(spark, sf_dir, "embeddings"), negatives.relabelled())
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_pairs.round_trip_digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_token_counts, op3_cotraining, op4_secret_scan, op5_main_text, op6_ngram_jaccard,
-        op7_quality_rules, op8_mixing, op9_vector_dedup, op10_warc_derivatives,
+        op7_quality_rules, op8_mixing, op9_vector_dedup, op10_warc_derivatives, op11_filter_interactions,
+        op12_hard_negatives, op13_byte_bpe,
     )
 }
 
@@ -127,5 +157,58 @@ reached(node, other) AS (
 grouped AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
 SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
 FROM embeddings v JOIN grouped g ON g.node = v.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = v.vec_id
+""",
+    "op11_filter_interactions": r"""
+WITH worded AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marked AS (
+  SELECT doc_id, part, len(w) < 200 AS A, 100 * len(list_distinct(w)) < 50 * len(w) AS B,
+    100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 3 * length(body) AS C,
+    regexp_matches(body, '[#$%&*|]') AS D, coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false) AS E FROM worded),
+label_of AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+states AS (
+  SELECT part, [A, B, C, D, E] AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM marked LEFT JOIN label_of USING (doc_id) GROUP BY ALL),
+names AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM names a, names b, names c, names d, names e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT o, i AS step, o[i] AS f FROM orders, names),
+seen AS (
+  SELECT part, o, step, f, n, good, toxic, fails[f] AS here,
+    len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS n_fails
+  FROM states, steps),
+counted AS (
+  SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (here AND gone), 0) AS redundant, coalesce(sum(n) FILTER (here AND n_fails = 1), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (here AND NOT gone AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+""",
+    "op12_hard_negatives": r"""
+WITH usable AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS other_id, b.label AS label,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
 """,
 }

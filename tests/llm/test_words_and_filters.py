@@ -110,6 +110,15 @@ def test_quality_of_empty_tables(llm, documents):
     assert (row.n_words, row.base_failed, row.kept, row.score) == (0, True, False, 0.0)
 
 
+def test_quality_of_slices_of_empty_texts(llm, documents):
+    labels = llm.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(i, "") for i in range(8)] + [(8, "some words of a text\nsome words of a text"), (9, "x" * 700_000), (10, ""), (11, None)]
+    for table in (documents(rows).repartition(4), documents(rows).coalesce(1)):
+        found = {r.doc_id: (r.n_words, r.n_dup_lines) for r in quality.quality_rules(table, labels).collect()}
+        assert found == {**dict.fromkeys(range(8), (0, 0)), 8: (10, 1), 9: (1, 0), 10: (0, 0), 11: (0, 0)}
+        assert quality.passing(table, labels).count() == 0
+
+
 def whole(vocabulary, by_bytes):
     from tokenizers import Tokenizer, models
 
