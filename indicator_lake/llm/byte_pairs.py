@@ -19,6 +19,7 @@ are encoded each time. Work and memory grow in proportion to the length of a tex
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -32,10 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED_BYTES = 48 << 20
-LONGEST_REMEMBERED = 48  # bytes of a match
+REMEMBERED_BYTES = 160 << 20
+ENTRY_BYTES = 200  # of a remembered match besides its characters and ids
+LONGEST_REMEMBERED = 100  # characters of a match and bytes of its ids
 SLICE_CHARS = 1 << 20  # a long text is split in slices of about this size
 OUTPUT_BYTES = 4 << 20
+MOST_PAIRS = 1 << 19  # remembered answers whether two tokens can stand next to each other
+_PAIR_BITS = 24
 _NONE = -1
 #: A match of the pattern never runs from other characters into white space, so a text may be cut there.
 _CUT = regex.compile(r"(?<=\S)(?=\s)")
@@ -70,11 +74,12 @@ class Vocabulary:
             raise ValueError("every single byte must be a token")
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._left: dict[int, int] = {}
         self._right: dict[int, int] = {}
         self._joined: dict[tuple[int, int], int] = {}
-        self._standing: dict[tuple[int, int], bool] = {}
+        self._standing: dict[int, bool] = {}
         self._matches = ahocorasick.Automaton()
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -87,6 +92,7 @@ class Vocabulary:
             if pair or len(token) == 1:  # other tokens only ever stand for a whole match
                 self._matches.add_word(token.decode("latin-1"), (rank, len(token)))
         self._matches.make_automaton()
+        self.whole = {token.decode("latin-1"): rank for token, rank in ranks.items()}
 
     def _stands(self, left: int, right: int) -> bool:
         if (left, right) in self._joined:
@@ -108,10 +114,10 @@ class Vocabulary:
 
     def stands(self, left: int, right: int) -> bool:
         """Whether the encoding of the two tokens' bytes is these two tokens."""
-        pair = (left, right)
+        pair = left << _PAIR_BITS | right
         found = self._standing.get(pair)
         if found is None:
-            if len(self._standing) > 1 << 18:
+            if len(self._standing) > MOST_PAIRS:
                 self._standing.clear()
             found = self._standing[pair] = self._stands(left, right)
         return found
@@ -120,8 +126,29 @@ class Vocabulary:
         """(index of the last byte, (token, length)) of every match, by index, longest first."""
         return self._matches.iter(data.decode("latin-1"))
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def encode(self, data: str) -> array:
+        """Tokens of bytes given as a string of characters below 256, by the table of prefixes without keeping it."""
+        last: list[int | None] = [None] * (len(data) + 1)
+        standing, stands = self._standing.get, self.stands
+        for end, (token, length) in self._matches.iter(data):
+            end += 1
+            if last[end] is None:
+                start = end - length
+                if start:
+                    before = last[start]
+                    fits = standing(before << _PAIR_BITS | token)
+                    if fits is None:
+                        fits = stands(before, token)
+                    if not fits:
+                        continue
+                last[end] = token
+        found, end, size = array("I"), len(data), self.size
+        while end:
+            token = last[end]
+            found.append(token)
+            end -= size[token]
+        found.reverse()
+        return found
 
 
 class Prefixes:
@@ -169,31 +196,42 @@ class Prefixes:
 
     def ids(self) -> list[int]:
         found, end = [], len(self.data)
-        bytes_of = self.vocabulary.bytes_of
+        size = self.vocabulary.size
         while end:
             found.append(self.last[end])
-            end -= len(bytes_of[found[-1]])
+            end -= size[found[-1]]
         found.reverse()
         return found
 
 
 class Encoder(dict):
-    """Encodings of matches as little-endian unsigned 32-bit ids; a missing one is found and, if short, remembered."""
+    """Encodings of matches as little-endian unsigned 32-bit ids; a missing one is found and, if short, remembered.
+
+    When half of ``REMEMBERED_BYTES`` is full, the encodings in it become the older half and those of the older
+    half that were not asked for since go, so frequent matches stay.
+    """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         super().__init__()
         self.vocabulary, self.pattern, self.held = vocabulary, regex.compile(pattern), 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, match: str) -> bytes:
-        data = match.encode()
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else Prefixes(self.vocabulary, data).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        if len(data) <= LONGEST_REMEMBERED:
-            self.held += 200 + len(data) + len(packed)
-            if self.held > REMEMBERED_BYTES:
+        packed = self.older.get(match)
+        if packed is None:
+            data = match if match.isascii() else match.encode().decode("latin-1")
+            whole = self.vocabulary.whole.get(data)
+            ids = self.vocabulary.encode(data) if whole is None else array("I", (whole,))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            packed = ids.tobytes()
+        size = len(match) + len(packed)
+        if size <= LONGEST_REMEMBERED:
+            self.held += size + ENTRY_BYTES
+            if 2 * self.held > REMEMBERED_BYTES:
+                self.older = dict(self)
                 self.clear()
-                self.held = 0
+                self.held = size + ENTRY_BYTES
             self[match] = packed
         return packed
 
@@ -317,13 +355,13 @@ def encoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids", text: st
     return _added(docs, ids, text, make)
 
 
-def decoded(rows: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
+def decoded(rows: DataFrame, path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """rows with the column ``data``: the bytes that the ids stand for; null ids give no bytes."""
     sent = _sent(rows.sparkSession, path)
 
     def make():
-        vocabulary = _Shared.encoder(sent, pattern).vocabulary
-        return lambda value: vocabulary.decode(np.frombuffer(value.as_py() or b"", "<u4").tolist())
+        bytes_of = {rank: token for token, rank in read_ranks(iter(sent.value)).items()}.__getitem__
+        return lambda value: b"".join(map(bytes_of, np.frombuffer(value.as_py() or b"", "<u4").tolist()))
 
     return _added(rows, data, ids, make)
 
@@ -334,7 +372,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     Only doc_id and text are read, whatever other columns there are.
     """
     rows = encoded(docs.select("doc_id", F.col("text").cast("string")), path, pattern)
-    both = decoded(rows.drop("text"), path, pattern)
+    both = decoded(rows.drop("text"), path)
     return both.select(
         F.col("doc_id").cast("long"),
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
