@@ -10,6 +10,8 @@ the lengths of the parts between them and of the matches add up to every start.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +50,6 @@ def _spans(text: Column, pattern: str, kind: int, least: int) -> Column:
         F.arrays_zip(gaps.alias("gap"), found.alias("hit"), value.alias("value")),
         lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["value"]).alias("value")),
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
-
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
         end = begin + F.coalesce(x["hit"], F.lit(0))
@@ -57,10 +57,55 @@ def _spans(text: Column, pattern: str, kind: int, least: int) -> Column:
         fits = x["hit"].isNotNull() & (x["value"] >= least)
         return F.struct(end.alias("at"), F.when(fits, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    scanned = F.aggregate(steps, start, step, lambda acc: acc["spans"])
+    def placed(piece: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast(_SPAN).alias("spans"))
+        return F.aggregate(piece, start, step, lambda acc: acc["spans"])
+
+    def size(piece: Column) -> Column:
+        return F.aggregate(piece, F.lit(0).cast("bigint"), lambda n, x: n + x["gap"] + F.coalesce(x["hit"], F.lit(0)))
+
+    # places are running sums: of whole pieces of the list first, then inside each piece, so that no long array is copied
+    scanned = _bound(_pieces(steps), lambda p: F.flatten(F.zip_with(p, _sums_before(F.transform(p, size)), placed)))
     return F.when(text.rlike(pattern), scanned).otherwise(F.array().cast(_SPAN))
 
 
+PIECE = 512  # items of a long list that are folded with a growing array
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value found once, however often and deep the body asks for it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _pieces(items: Column) -> Column:
+    """The list in pieces of ``PIECE`` items; an empty list is one empty piece."""
+
+    def cut(x: Column) -> Column:
+        count = F.greatest(F.ceil(F.size(x) / PIECE), F.lit(1))
+        return F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), lambda i: F.slice(x, (i * PIECE + 1).cast("int"), PIECE))
+
+    return _bound(items, cut)
+
+
+def _sums_before(values: Column) -> Column:
+    """For each value the sum of those before it; values are few."""
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("all"))
+    return F.aggregate(
+        values, none, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["all"], acc["at"]).alias("all")), lambda acc: acc["all"]
+    )
+
+
+def _most_before(values: Column, first: Column) -> Column:
+    """For each value the largest of those before it and ``first``; values are few."""
+    none = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("all"))
+    return F.aggregate(
+        values,
+        none,
+        lambda acc, x: F.struct(F.greatest(acc["at"], x).alias("at"), F.array_append(acc["all"], acc["at"]).alias("all")),
+        lambda acc: acc["all"],
+    )
+
+
 def scan(blobs: DataFrame) -> DataFrame:
     """(blob, rules_version, spans) for blobs (blob, text); spans by start, then kind as listed."""
     every = F.concat(*(_spans(F.col("text"), p, i, least) for i, (_, p, least) in enumerate(RULES)))
@@ -138,24 +183,32 @@ def whole_keys(text: Column, spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span, overlapping ones together and private keys whole, replaced by a mark."""
-    spans = whole_keys(text, spans)
-    nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
-
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        own = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        touches = (F.size(acc) > 0) & (s["start"] < last["end"])
-        return F.when(touches, F.array_append(F.slice(acc, 1, F.size(acc) - 1), joined)).otherwise(F.array_append(acc, own))
-
-    merged = F.aggregate(spans, nothing, merge)
-    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(merged, lambda s: s["end"]))
-    ends = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.length(text).cast("bigint")))
-    kept = F.transform(
-        F.arrays_zip(starts.alias("s"), ends.alias("e")),
-        lambda x: F.substr(text, (x["s"] + 1).cast("int"), (x["e"] - x["s"]).cast("int")),
-    )
-    return F.when(F.size(spans) > 0, F.array_join(kept, MASK)).otherwise(text)
+    zero = F.lit(0).cast("bigint")
+
+    def kept(piece: Column, at: Column) -> Column:
+        # one cut of the text for the piece, and short ones inside it
+        stop = F.element_at(piece, -1)["start"]
+        cut = F.substr(text, (at + 1).cast("int"), F.greatest(stop - at, zero).cast("int"))
+
+        def inside(part: Column) -> Column:
+            before = _most_before(F.transform(piece, lambda s: s["end"]), at)
+            apart = F.filter(F.arrays_zip(piece.alias("s"), before.alias("b")), lambda x: x["s"]["start"] >= x["b"])
+            return F.transform(apart, lambda x: F.substr(part, (x["b"] - at + 1).cast("int"), (x["s"]["start"] - x["b"]).cast("int")))
+
+        return _bound(cut, inside)
+
+    def joined(pieces: Column) -> Column:
+        ends = F.transform(pieces, lambda x: F.aggregate(x, zero, lambda n, y: F.greatest(n, y["end"])))
+
+        def with_ends(tops: Column) -> Column:
+            last = F.array_max(tops)
+            tail = F.substr(text, (last + 1).cast("int"), F.length(text))
+            # spans come by start: what is masked before a span ends at the largest end before it
+            return F.array_join(F.concat(F.flatten(F.zip_with(pieces, _most_before(tops, zero), kept)), F.array(tail)), MASK)
+
+        return _bound(ends, with_ends)
+
+    return F.when(F.size(spans) > 0, _bound(_pieces(whole_keys(text, spans)), joined)).otherwise(text)
 
 
 def without_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
