@@ -170,9 +170,10 @@ def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     near = banded.join(leads, "band").where("rep > lead").groupBy("rep").agg(F.min("lead").alias("lead"))
     # a document with several texts belongs to several classes
     members = named.select("doc_id", "f1", "f2", "n").join(classes.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"])
-    joined = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
+    several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").drop("b")
+    joined = members.join(several, "doc_id").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
     links = linked_pairs(texts, near.select(F.col("lead").alias("a"), F.col("rep").alias("b")), k, percent)
-    groups = components(links.union(joined.select("a", "b")), "groups")
+    groups = components(links.union(joined), "groups")
 
     # the matrix: token to group, for tokens that more than one group holds
     grouped = classes.join(groups, classes["rep"] == groups["node"], "left")
