@@ -127,11 +127,12 @@ def pivotal(items: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
 
 
 def copies(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """(doc_id, tag, source, rows, size, source_size, target, copies) for docs (doc_id, text, source).
+    """(doc_id, tag, source, rows, size, source_size, target, whole, more) for docs (doc_id, text, source).
 
-    tag is a hash of source and text. Equal rows (same id, source and text) are one item that stands for ``rows``
-    rows, all of which are taken ``copies`` times. A text without words has size 0 and is taken as often as the
-    whole part says. A source whose documents are all empty has target 0 and no copies.
+    tag is a hash of source and text. Of the ``rows`` equal rows (same id, source and text) each is taken ``whole``
+    times and ``more`` of them once again: that many of their fractions add up to whole rows at once, and what is left
+    of them is one item of the rounding. A text without words has size 0 and is taken as often as the whole part
+    says. A source whose documents are all empty has target 0 and no copies.
     """
     doc = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -143,42 +144,74 @@ def copies(docs: DataFrame, seed: int = 0) -> DataFrame:
     aim = targets(doc.select("source", (F.col("size") * F.col("rows")).alias("size")))
     planned = doc.join(aim, doc["source"].eqNullSafe(aim["source"])).drop(aim["source"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    planned = planned.withColumn("whole", F.floor(rate)).withColumn("p", rate - F.floor(rate))
-    planned = stored(planned, "mix")
-    items = planned.select(
-        F.col("source").alias("grp"), F.col("doc_id").alias("id"), "tag", (F.col("size") * F.col("rows")).alias("size"), "p"
-    )
+    planned = planned.withColumn("whole", F.floor(rate)).withColumn("fraction", (rate - F.floor(rate)) * F.col("rows"))
+    planned = planned.withColumn("sure", F.floor("fraction")).withColumn("p", F.col("fraction") - F.col("sure"))
+    planned = stored(planned.drop("fraction"), "mix")
+    items = planned.select(F.col("source").alias("grp"), F.col("doc_id").alias("id"), "tag", "size", "p")
     up = pivotal(items, seed).select(F.col("grp").alias("_grp"), F.col("id").alias("_id"), F.col("tag").alias("_tag"), "up")
     same = (
         planned["doc_id"].eqNullSafe(up["_id"]) & (planned["tag"] == up["_tag"]) & planned["source"].eqNullSafe(up["_grp"])
     )
-    taken = planned.join(up, same, "left")
-    return taken.select(
+    more = F.least(F.col("rows"), F.col("sure") + F.coalesce("up", F.lit(0)))
+    return planned.join(up, same, "left").select(
         "doc_id", "tag", "source", "rows", "size", "source_size", "target",
-        (F.col("whole") + F.coalesce("up", F.lit(0))).cast("long").alias("copies"),
+        F.col("whole").cast("long").alias("whole"), more.cast("long").alias("more"),
     )
 
 
+def _numbered(groups: DataFrame, rows: str, number: str, block: int = 4096) -> DataFrame:
+    """A row for each of 1 to ``rows``, made in blocks so that no long array stands for a group of very many."""
+    last = F.col(rows)
+    blocks = groups.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{rows}` - 1) div {block}"))))
+    first = F.col("_block") * block + 1
+    return blocks.withColumn(number, F.explode(F.sequence(first, F.least(last, first + (block - 1))))).drop("_block")
+
+
 def mixture(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, source) for every row of docs."""
-    found = copies(docs, seed)
-    every = found.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    every = _numbered(copies(docs, seed), "rows", "_row")
+    every = every.withColumn("copies", F.col("whole") + F.when(F.col("_row") <= F.col("more"), 1).otherwise(0))
     return every.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
     )
 
 
+def _place_in_group(rows: DataFrame, keys: list[str], place: str, part: str) -> DataFrame:
+    """Number equal rows from 1: inside each task's share first, so that a group of very many rows stays spread."""
+    inside = Window.partitionBy(*keys, part).orderBy(F.lit(1))
+    own = stored(rows.withColumn(part, F.spark_partition_id()).withColumn(place, F.row_number().over(inside)), "mix")
+    shares = own.groupBy(*keys, part).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    names = {c: f"_of_{i}" for i, c in enumerate([*keys, part])}
+    shares = shares.select(*[F.col(c).alias(n) for c, n in names.items()], "_before")
+    same = [own[c].eqNullSafe(shares[n]) for c, n in names.items()]
+    return own.join(shares, same).withColumn(place, F.col(place) + F.col("_before")).drop("_before", part, *names.values())
+
+
 def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the columns of docs."""
-    own = {c: unused(docs, c) for c in ("id", "tag", "origin", "copies", "copy")}
-    found = copies(docs, seed).where("copies > 0").select(
-        F.col("doc_id").alias(own["id"]), F.col("tag").alias(own["tag"]), F.col("source").alias(own["origin"]),
-        F.sequence(F.lit(1), F.col("copies")).alias(own["copies"]),
-    )
-    same = (
-        docs["doc_id"].cast("long").eqNullSafe(found[own["id"]])
-        & (F.xxhash64(docs["source"], docs["text"]) == found[own["tag"]])
-        & docs["source"].cast("string").eqNullSafe(found[own["origin"]])
-    )
-    both = docs.join(found, same).withColumn(own["copy"], F.explode(own["copies"]))
-    return both.select(*map(quoted, docs.columns))
+    own = {c: unused(docs, f"mix_{c}") for c in ("id", "tag", "origin", "rows", "whole", "more", "place", "part", "copy")}
+    renamed = {"doc_id": "id", "tag": "tag", "source": "origin", "rows": "rows", "whole": "whole", "more": "more"}
+    found = copies(docs, seed).where("whole > 0 or more > 0").select(*[F.col(c).alias(own[n]) for c, n in renamed.items()])
+    found = stored(found, "mix")
+    # only rows that some, not all, of their equals are taken once more of need a number among them
+    parted = (F.col(own["more"]) > 0) & (F.col(own["more"]) < F.col(own["rows"]))
+
+    def with_docs(groups: DataFrame) -> DataFrame:
+        same = (
+            docs["doc_id"].cast("long").eqNullSafe(groups[own["id"]])
+            & (F.xxhash64(docs["source"], docs["text"]) == groups[own["tag"]])
+            & docs["source"].cast("string").eqNullSafe(groups[own["origin"]])
+        )
+        return docs.join(groups, same)
+
+    every = with_docs(found.where(~parted)).withColumn(own["place"], F.lit(1).cast("bigint"))
+    some = found.where(parted)
+    if not some.isEmpty():  # else the texts need not be read again
+        keys = [own["id"], own["tag"], own["origin"]]
+        placed = _place_in_group(with_docs(some), keys, own["place"], own["part"])
+        every = every.unionByName(placed.withColumn(own["place"], F.col(own["place"]).cast("bigint")))
+    often = F.col(own["whole"]) + F.when(F.col(own["place"]) <= F.col(own["more"]), 1).otherwise(0)
+    every = every.where(often > 0).withColumn(own["copy"], F.explode(F.sequence(F.lit(1).cast("bigint"), often)))
+    return every.select(*map(quoted, docs.columns))

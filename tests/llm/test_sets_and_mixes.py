@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -392,3 +393,58 @@ def test_a_token_of_many_groups_keeps_every_link(documents):
     texts = [f"{shared} x{i}" for i in range(40)] + [f"{shared} " + " ".join(f"y{i}_{j}" for j in range(30)) for i in range(40)]
     found = {r.doc_id: r.component_id for r in jaccard.similarity_components(documents(list(enumerate(texts)))).collect()}
     assert found == {i: 0 if i < 40 else i for i in range(80)}
+
+
+def test_many_equal_rows_are_mixed_one_by_one(llm, documents):
+    words = "one two three four five six seven eight nine ten"
+    rows = [(1, words, "a")] * 1000 + [(2 + i, " ".join(["w"] * (7 + i % 5)), "b") for i in range(300)]
+    rows += [(900 + i, "x y z", "c") for i in range(2000)]
+    docs = documents(rows).repartition(6)
+    found = mixing.mixture(docs).collect()
+    assert len(found) == len(rows)
+    for source in "abc":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+        assert all(r.taken <= 3 * r.size for r in own)
+    kept = mixing.mixed(docs).groupBy("doc_id").count().collect()
+    taken = {}
+    for r in found:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.copies
+    assert {r.doc_id: r["count"] for r in kept} == {i: n for i, n in taken.items() if n}
+
+
+def test_an_id_with_three_texts_links_all_of_them(documents):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(9, one), (9, two), (9, three), (1, one), (2, two), (3, three), (4, "else where no one links")]
+    found = {r.doc_id: r.component_id for r in jaccard.similarity_components(documents(rows)).collect()}
+    assert found == {9: 1, 1: 1, 2: 1, 3: 1, 4: 4}
+
+
+N_HITS = 100_000
+
+
+def test_very_many_hits_in_one_text_take_time_in_proportion(documents):
+    line = "0123456789abcdef0123456789abcdef"
+    text = "\n".join([line] * N_HITS)
+    began = time.monotonic()
+    (row,) = secrets.digest(secrets.findings(documents([(1, text)]))).select("n_hex", F.substring("spans", 1, 20).alias("head")).collect()
+    assert (row.n_hex, row.head) == (N_HITS, "hex:0:32,hex:33:65,h")
+    (clean,) = secrets.without_secrets(documents([(1, text)])).select("text").collect()
+    assert clean.text == "\n".join([secrets.MASK] * N_HITS)
+    assert time.monotonic() - began < 60
+
+
+def test_masking_across_pieces_of_the_span_list(documents):
+    rng = random.Random(8)
+    parts = ["token=abcdefgh12345678", "deadbeef" * 5, "AKIA" + "A" * 16, "é word ", "secret: " + "0123456789abcdef" * 3, " plain ", "x"]
+    text = " ".join(rng.choice(parts) for _ in range(3000))
+    docs = documents([(1, text)])
+    (found,) = secrets.findings(docs).collect()
+    marks, last, expected = sorted((s.start, s.end) for s in found.spans), 0, []
+    assert len(marks) > 2 * secrets.PIECE
+    for start, end in marks:
+        if start >= last:
+            expected.append(text[last:start])
+        last = max(last, end)
+    (clean,) = secrets.without_secrets(docs).collect()
+    assert clean.text == secrets.MASK.join([*expected, text[last:]])
