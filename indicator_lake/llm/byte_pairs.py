@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED_BYTES = 160 << 20
+REMEMBERED_BYTES = 96 << 20
 ENTRY_BYTES = 200  # of a remembered match besides its characters and ids
 LONGEST_REMEMBERED = 100  # characters of a match and bytes of its ids
 SLICE_CHARS = 1 << 20  # a long text is split in slices of about this size
