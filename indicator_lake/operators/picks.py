@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -10,15 +11,23 @@ RUN_ID = "_ingestion_run_id"
 INGESTED_AT = "_ingested_at"
 
 
-def latest_run(df: DataFrame, run_id: str = RUN_ID, stamp: str = INGESTED_AT) -> DataFrame:
+class RunTable(Protocol):
+    """A table that knows its newest run."""
+
+    def latest(self) -> DataFrame: ...
+
+
+def latest_run(source: DataFrame | RunTable, run_id: str = RUN_ID, stamp: str = INGESTED_AT) -> DataFrame:
     """Rows of the most recent run.
 
-    The scalar subquery finishes first and reads two columns; on a table partitioned by run id
-    its value prunes the scan to the partitions of that run. Runs with equal stamps tie-break
-    on the run id.
+    A table that keeps marks of its runs names the newest one, and only that run's folder is read. Rows alone are
+    asked by a scalar subquery, which finishes first and reads two columns; on a table partitioned by run id its
+    value prunes the scan to the partitions of that run. Runs with equal stamps tie-break on the run id.
     """
-    newest = df.select(F.max_by(run_id, F.struct(stamp, run_id))).scalar()
-    return df.where(F.col(run_id) == newest)
+    if not isinstance(source, DataFrame):
+        return source.latest()
+    newest = source.select(F.max_by(run_id, F.struct(stamp, run_id))).scalar()
+    return source.where(F.col(run_id) == newest)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:

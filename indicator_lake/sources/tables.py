@@ -1,13 +1,16 @@
-"""Parquet tables: reading with text partition values, clustered writes, run exports."""
+"""Parquet tables: versions that are replaced whole, snapshots by run, clustered writes, run exports."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from indicator_lake.operators.picks import INGESTED_AT, RUN_ID
+from indicator_lake.operators.picks import INGESTED_AT, RUN_ID, latest_run
+from indicator_lake.sources import commits
 
 INGESTION_DATE = "ingestion_date"
 # A missing folder, or one that a failed first write left without data files.
@@ -25,38 +28,132 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table; run ids in partition folders stay text ('007' does not become 7).
+    """The live version of a table, or a plain folder where nothing was ever committed.
 
-    The folders are listed once, and again only where Spark took run ids for something else.
+    The schema of a version is the committed one, so no file is opened to find it. Run ids in partition folders
+    stay text ('007' does not become 7).
     """
-    table = spark.read.parquet(path)
+    state = commits.live(spark, path)
+    if state is not None:
+        return _read_folders(spark, path, list(state.folders), state.schema)
+    return _with_text_run_ids(spark, path, lambda reader: reader.parquet(path))
+
+
+def _read_folders(spark: SparkSession, path: str, folders: Sequence[str], schema: str) -> DataFrame:
+    kept = T.StructType.fromJson(json.loads(schema))
+    return spark.read.schema(kept).parquet(*[f"{path}/{folder}" for folder in folders])
+
+
+def _with_text_run_ids(spark: SparkSession, path: str, read) -> DataFrame:
+    """The folders are listed once, and again only where Spark took run ids for something else."""
+    table = read(spark.read.option("basePath", path))
     text = {RUN_ID, "run_id"}
     fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in table.schema]
     if fields == table.schema.fields:
         return table
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return read(spark.read.option("basePath", path).schema(T.StructType(fields)))
 
 
-def write_clustered(
+@dataclass(frozen=True)
+class Staged:
+    """A written version that nobody reads yet."""
+
+    spark: SparkSession
+    path: str
+    folder: str
+    schema: str
+    rows: int
+    measured: Mapping[str, int] = field(default_factory=dict)
+
+    def read(self) -> DataFrame:
+        return _read_folders(self.spark, self.path, [self.folder], self.schema)
+
+    def publish(self) -> DataFrame:
+        """Make this the live version: one small file moves the table from the old rows to the new ones."""
+        entry = {self.folder: {"rows": self.rows}}
+        commits.commit(self.spark, self.path, lambda last: commits.Commit(last.number, entry, self.schema))
+        commits.remove_old(self.spark, self.path)
+        return read_table(self.spark, self.path)
+
+
+def stage(
     df: DataFrame,
     path: str,
     cluster_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     max_rows_per_file: int = 5_000_000,
-) -> None:
-    """Replace a table, sorted so that Parquet min/max statistics prune on ``cluster_by``.
+    measures: Mapping[str, Column] | None = None,
+) -> Staged:
+    """Write a new version of a table beside the live one, sorted so that min/max statistics prune on ``cluster_by``.
 
-    Ranges are cut on partition + cluster columns and then on a hash of the row, so that rows
-    sharing one hot value still spread over several tasks and files.
+    Ranges are cut on partition + cluster columns and then on a hash of the row, so that rows sharing one hot value
+    still spread over several tasks and files. Rows and ``measures`` (aggregates) are counted while they are written.
     """
-    order = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
+    folder, order = commits.new_folder(), [*partition_by, *[c for c in cluster_by if c not in partition_by]]
+    fields = [*[f for f in df.schema if f.name not in partition_by], *[df.schema[c] for c in partition_by]]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields]).json()
     if order:
         df = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    names = {f"_measure_{i}": name for i, name in enumerate(measures or {})}
+    counted = [measures[name].alias(key) for key, name in names.items()]
+    seen = Observation()
+    # observed above the exchange: the job that finds the ranges runs what lies below it once more
+    writer = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *counted).write
     writer = writer.option("maxRecordsPerFile", max_rows_per_file).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(f"{path}/{folder}")
+    found = seen.get
+    return Staged(df.sparkSession, path, folder, schema, found["_rows"], {n: found[k] for k, n in names.items()})
+
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """Full-replace copy of a table, seen by readers whole or not at all; returns its rows."""
+    staged = stage(df, path)
+    staged.publish()
+    return staged.rows
+
+
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    cluster_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
+    max_rows_per_file: int = 5_000_000,
+) -> None:
+    """Replace a table by one sorted and partitioned as ``stage`` does it."""
+    stage(df, path, cluster_by, partition_by, max_rows_per_file).publish()
+
+
+@dataclass(frozen=True)
+class Snapshots:
+    """A table of runs, each under ``ingestion_date / run id``, whose committed runs are told by their marks."""
+
+    spark: SparkSession
+    path: str
+
+    def runs(self) -> DataFrame:
+        """(run_id, stamp, day, rows) of the committed runs."""
+        rows = [(r.run_id, r.stamp, r.day, r.rows) for r in commits.runs(self.spark, self.path)]
+        return self.spark.createDataFrame(rows, "run_id string, stamp string, day string, rows long")
+
+    def read(self) -> DataFrame:
+        """All committed runs; a run without a mark (its writer failed) does not count."""
+        table = read_table(self.spark, self.path)
+        known = [r.run_id for r in commits.runs(self.spark, self.path)]
+        return table.where(F.col(RUN_ID).isin(known)) if known else table
+
+    def latest(self) -> DataFrame:
+        """The newest run, read from its own folder: no other run is listed, and no row asked for its stamp.
+
+        A table without marks is asked for its newest stamp instead.
+        """
+        known = commits.runs(self.spark, self.path)
+        if not known:
+            return latest_run(read_table(self.spark, self.path))
+        run = known[-1]
+        folder = f"{self.path}/{INGESTION_DATE}={run.day}/{RUN_ID}={commits.partition_value(run.run_id)}"
+        return _with_text_run_ids(self.spark, self.path, lambda reader: reader.parquet(folder))
 
 
 def export_run(table: DataFrame, run_id: str, path: str) -> None:
