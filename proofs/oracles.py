@@ -358,6 +358,19 @@ FINAL = {
     "ORDER BY md5('42' || l_orderkey || l_linenumber), l_orderkey, l_linenumber LIMIT 500",
     "io8_export_roundtrip": "SELECT _ingestion_run_id AS run_id, strftime(_ingested_at, '%Y-%m-%d') AS day, count(*) AS n_rows, "
     "round(sum(o_totalprice), 2) AS total FROM b_runs WHERE _ingestion_run_id = 'run-2001' GROUP BY 1, 2",
+    "io9_atomic_replace": """SELECT moment, count(*) AS n_rows, round(sum(o_totalprice), 2) AS total
+  FROM (VALUES ('before', true), ('after_failure', true), ('during', true), ('after', false)) m(moment, finished)
+  JOIN orders ON (o_orderstatus = 'F') = finished GROUP BY moment""",
+    "io10_partial_load": " UNION ALL ".join(
+        [f"SELECT '{t}' AS destination_table, 'SUCCESS' AS status, count(*) AS rows_processed, false AS has_error FROM {t}"
+         for t in ("nation", "orders", "events")]
+        + [f"SELECT '{t}', 'FAILED', NULL, true" for t in ("no_such_table", "orders_by_hand")]
+    ),
+    "io14_checked_publish": """SELECT 'served_good' AS name, count_if(value BETWEEN 0 AND 100) AS value FROM events
+  UNION ALL SELECT 'served_after_violation', count_if(value BETWEEN 0 AND 100) FROM events
+  UNION ALL SELECT 'served_reported', count(*) FROM events
+  UNION ALL SELECT 'events.value', count_if(NOT value BETWEEN 0 AND 100) FROM events
+  UNION ALL SELECT 'events.unique_key', count(*) FROM (SELECT event_id FROM events GROUP BY 1 HAVING count(*) > 1)""",
     "io11_run_audit": _per_table("SELECT '{t}' AS destination_table, 'SUCCESS' AS status, count(*) AS rows_processed FROM {t}"),
     "io12_preflight": _per_table("SELECT '{t}' AS name, 1 AS acesso_ok FROM {t} HAVING count(*) > 0"),
     "io15_partition_pruned_scan": "SELECT event_type, count(*) AS n_rows, round(sum(value), 2) AS total FROM events "
@@ -386,6 +399,10 @@ FINAL = {
   FROM customer GROUP BY 1, 2)""",
     "f1_latest_run": "SELECT o_orderkey, _ingestion_run_id AS run_id FROM b_runs "
     "WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)",
+    "f1_latest_run_marked": "SELECT o_orderkey, 'run-' || year(o_orderdate) AS run_id FROM orders "
+    "WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)",
+    "f1_run_marks": "SELECT 'run-' || year(o_orderdate) AS run_id, year(o_orderdate) || '-01-01' AS day, count(*) AS rows "
+    "FROM orders GROUP BY year(o_orderdate)",
     "f2_not_null": "SELECT meta_alfabetizacao IS NULL AS without_target, count(*) AS n_rows FROM current_rows "
     "WHERE taxa_alfabetizacao IS NOT NULL GROUP BY 1",
     "f5_code_format": "SELECT message_id, id_municipio FROM fields WHERE NOT regexp_full_match(id_municipio, '[0-9]{7}')",
@@ -476,6 +493,11 @@ FINAL = {
         for table, test in (("eventos_indicador", "="), ("eventos_rejeitados", "<>"))
         for measure, value in (("stored", "count(*)"), ("missing", "0 * count(*)"), ("surplus", "0 * count(*)"))
     ),
+    "io17_compacted_stream": " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{measure}' AS measure, {value} AS value FROM checked WHERE errors {test} ''"
+        for table, test in (("eventos_indicador", "="), ("eventos_rejeitados", "<>"))
+        for measure, value in (("stored", "count(*)"), ("missing", "0 * count(*)"), ("surplus", "0 * count(*)"))
+    ),
     "st7_event_dedupe": "SELECT id_evento, id_municipio, sigla_uf, ano, lower(rede) AS rede, lower(serie) AS serie, "
     "'REENVIO' AS fonte, taxa_alfabetizacao AS taxa_alfabetizacao, "
     f"strftime(data_processamento + interval 1 day, {FMT}) AS data_processamento FROM valid_events",

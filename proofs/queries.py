@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 from functools import cached_property
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from indicator_lake.functions import measures, normalise
@@ -173,6 +175,49 @@ def io8_export_roundtrip(lake: Lake) -> DataFrame:
     )
 
 
+def _labelled(column: str, **frames: DataFrame) -> DataFrame:
+    """Rows of all frames, each with its name in ``column``."""
+    parts = [df.withColumn(column, F.lit(name)) for name, df in frames.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@proof
+def io9_atomic_replace(lake: Lake) -> DataFrame:
+    """What a table shows before, during and after its replacement, and after a replacement that fails."""
+    path, orders = lake.folder("replaced"), lake.inputs["orders"]
+    last = orders.select(F.max("o_orderkey")).scalar()
+    broken = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("o_orderpriority"))
+    loader.replace_table(orders.where("o_orderstatus = 'F'"), path)
+    before = tables.read_table(lake.spark, path)
+    try:
+        loader.replace_table(orders.withColumn("o_orderpriority", broken), path)
+        raise RuntimeError("the replacement should have failed")
+    except PySparkException:
+        after_failure = tables.read_table(lake.spark, path)
+    staged = tables.stage(orders.where("o_orderstatus <> 'F'"), path, ["o_orderdate"])
+    during = tables.read_table(lake.spark, path)
+    after = staged.publish()
+    shown = _labelled("moment", before=before, after_failure=after_failure, during=during, after=after)
+    return shown.groupBy("moment").agg(F.count("*").alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@proof
+def io10_partial_load(lake: Lake) -> DataFrame:
+    """Audit rows of a load in which one source cannot be read, one has an unknown mode and some are not asked for."""
+    sources = lake.sources()
+    sources += [{**sources[0], "name": n, "source_table": n, "destination_table": n, "mode": m} for n, m in
+                (("no_such_table", catalog.FULL_SNAPSHOT), ("orders_by_hand", "by_hand"))]
+    root = lake.folder("partial")
+    load = lake.loader(root, "run-1", audit_path=f"{root}/audit")
+    only = {"nation", "orders", "events", "no_such_table", "orders_by_hand"}
+    load.run(sources, only=only, strict=False)
+    stored = tables.read_table(lake.spark, f"{root}/audit")
+    return stored.select("destination_table", "status", "rows_processed", F.col("error_message").isNotNull().alias("has_error"))
+
+
 @proof
 def io11_run_audit(lake: Lake) -> DataFrame:
     audit = lake.loader(lake.folder("audited"), "run-1").run(lake.sources())
@@ -193,6 +238,49 @@ def io15_partition_pruned_scan(lake: Lake) -> DataFrame:
     return week.groupBy("event_type").agg(F.count("*").alias("n_rows"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@proof
+def io14_checked_publish(lake: Lake) -> DataFrame:
+    """Rows served after a good version, after one that breaks its rules, and after that one without strictness."""
+    events, root = lake.inputs["events"], lake.folder("checked")
+    model = lakehouse.Model("events", lambda t: t["events"], ("event_type", "user_id"))
+    rules = [quality.row_condition("events", "value", F.col("value").between(0, 100)), quality.unique_key("events", ["event_id"])]
+
+    def refresh(rows: DataFrame, strict: bool) -> DataFrame:
+        return lakehouse.refresh_layer(lake.spark, [model], {"events": rows}, f"{root}/lake", rules, f"{root}/checks", strict)["events"]
+
+    good = refresh(events.where("value between 0 and 100"), True)
+    try:
+        refresh(events, True)
+        raise RuntimeError("the rules should have stopped this version")
+    except quality.QualityFailure:
+        after_violation = tables.read_table(lake.spark, f"{root}/lake/events")
+    reported = refresh(events, False)
+    served = _labelled("step", good=good, after_violation=after_violation, reported=reported)
+    served = served.groupBy(F.concat(F.lit("served_"), "step").alias("name")).agg(F.count("*").alias("value"))
+    checks = tables.read_table(lake.spark, f"{root}/checks")
+    return served.unionByName(checks.groupBy(F.col("check_name").alias("name")).agg(F.max("violations").alias("value")))
+
+
+@proof
+def io17_compacted_stream(lake: Lake) -> DataFrame:
+    """Events and rejects of a stream whose closed micro-batches were compacted while it ran on, against the batch result."""
+    root, messages = lake.folder("compacted"), lake.inputs["b_messages"].select(F.col("value").cast("binary"), "message_id")
+    part = F.pmod(F.xxhash64("message_id"), F.lit(4))
+
+    def drain() -> None:
+        stream = sinks.file_messages(lake.spark, f"{root}/messages", 1)
+        sinks.start(stream, f"{root}/out", f"{root}/checkpoint", as_of=stamp(AS_OF), drain=True).awaitTermination()
+
+    for chosen in (part < 3, part == 3):
+        messages.where(chosen).repartition(3).write.mode("append").parquet(f"{root}/messages")
+        drain()
+        for name in (sinks.VALID, sinks.REJECTED):
+            sinks.write_compacted(lake.spark, f"{root}/out", sinks.closed_batches(lake.spark, f"{root}/out", name), name)  # not committed
+            sinks.compact(lake.spark, f"{root}/out", name, f"{root}/checkpoint")
+            sinks.remove_covered(lake.spark, f"{root}/out", name, grace_seconds=0)
+    return _against_batch(lake, f"{root}/out")
+
+
 # --- projections ---------------------------------------------------------------------------
 
 
@@ -286,6 +374,28 @@ def f1_latest_run(lake: Lake) -> DataFrame:
     return picks.latest_run(lake.inputs["b_runs"]).select("o_orderkey", F.col("_ingestion_run_id").alias("run_id"))
 
 
+def _loaded_by_year(lake: Lake, folder: str) -> tables.Snapshots:
+    """Orders loaded as one run a year, not in the order of years."""
+    path, orders = lake.folder(folder), lake.inputs["orders"]
+    years = sorted((r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()), key=lambda y: (y % 3, y))
+    for year in years:
+        rows = orders.where(F.year("o_orderdate") == year)
+        loader.append_run(rows, path, f"run-{year}", "driver.tables.orders", datetime(year, 1, 1, tzinfo=timezone.utc))
+    return tables.Snapshots(lake.spark, path)
+
+
+@proof
+def f1_latest_run_marked(lake: Lake) -> DataFrame:
+    """The newest run as the marks of the runs tell it."""
+    newest = picks.latest_run(_loaded_by_year(lake, "marked"))
+    return newest.select("o_orderkey", F.col("_ingestion_run_id").alias("run_id"))
+
+
+@proof
+def f1_run_marks(lake: Lake) -> DataFrame:
+    return _loaded_by_year(lake, "marks").runs().select("run_id", "day", "rows")
+
+
 @proof
 def f2_not_null(lake: Lake) -> DataFrame:
     rows = lake.current.where(F.col("taxa_alfabetizacao").isNotNull())
@@ -540,10 +650,15 @@ def st6_stream_equals_batch(lake: Lake) -> DataFrame:
     lake.inputs["b_messages"].select(F.col("value").cast("binary"), "message_id").write.parquet(f"{root}/messages")
     stream = sinks.file_messages(lake.spark, f"{root}/messages")
     sinks.start(stream, f"{root}/out", f"{root}/checkpoint", as_of=stamp(AS_OF), drain=True).awaitTermination()
+    return _against_batch(lake, f"{root}/out")
+
+
+def _against_batch(lake: Lake, root: str) -> DataFrame:
+    """Rows of the two event tables, those the batch result has besides, and those it lacks."""
     batch = {sinks.VALID: contract.accepted(lake.checked), sinks.REJECTED: contract.rejected(lake.checked)}
     parts = []
     for name, expected in batch.items():
-        stored = sinks.read_events(lake.spark, f"{root}/out", name).drop("data_processamento")
+        stored = sinks.read_events(lake.spark, root, name).drop("data_processamento")
         expected = expected.drop("data_processamento")
         measures = {"stored": stored, "missing": expected.exceptAll(stored), "surplus": stored.exceptAll(expected)}
         for measure, rows in measures.items():
