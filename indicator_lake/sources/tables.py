@@ -68,10 +68,13 @@ class Staged:
     def read(self) -> DataFrame:
         return _read_folders(self.spark, self.path, [self.folder], self.schema)
 
-    def publish(self) -> DataFrame:
-        """Make this the live version: one small file moves the table from the old rows to the new ones."""
-        entry = {self.folder: {"rows": self.rows}}
-        commits.commit(self.spark, self.path, lambda last: commits.Commit(last.number, entry, self.schema))
+    def publish(self, extra: Mapping | None = None) -> DataFrame:
+        """Make this the live version: one small file moves the table from the old rows to the new ones.
+
+        ``extra`` is kept with the commit.
+        """
+        entry, kept = {self.folder: {"rows": self.rows}}, dict(extra or {})
+        commits.commit(self.spark, self.path, lambda last: commits.Commit(last.number, entry, self.schema, extra=kept))
         commits.remove_old(self.spark, self.path)
         return read_table(self.spark, self.path)
 

@@ -140,13 +140,34 @@ def compact(spark: SparkSession, root: str, name: str = VALID, checkpoint: str |
     def change(last: commits.Commit) -> commits.Commit:
         if last.extra.get("covered", {}) != covered:
             raise commits.CommitConflict(f"{path}: another compaction committed meanwhile")
-        folders = {**last.folders, staged.folder: {"rows": staged.rows}}
+        folders = {**last.folders, staged.folder: {"rows": staged.rows, "covers": {**covered, **closed}}}
         return commits.Commit(last.number, folders, staged.schema, extra={"covered": {**covered, **closed}})
 
     commits.commit(spark, path, change)
     return staged.rows
 
 
+def events_since(
+    spark: SparkSession, root: str, consumed: dict[str, int], checkpoint: str | None = None, name: str = VALID
+) -> tuple[DataFrame | None, dict[str, int]]:
+    """Rows of finished micro-batches later than ``consumed`` (query id -> batch id), and how far they go.
+
+    Where such a batch was compacted together with earlier ones, the rows of its whole folder come: some of them
+    may have been seen before. None when there is nothing new.
+    """
+    path = f"{root}/{name}"
+    state = commits.live(spark, path)
+    covered = state.extra["covered"] if state else {}
+    upto = {**consumed, **covered}
+    for query, batch in closed_batches(spark, root, name, checkpoint).items():
+        upto[query] = max(batch, upto.get(query, -1))
+    folders = [f for f, entry in state.folders.items() if any(consumed.get(q, -1) < last for q, last in entry["covers"].items())] if state else []
+    folders += [_folder(q, i) for q, i in _batches(spark, path) if max(covered.get(q, -1), consumed.get(q, -1)) < i <= upto.get(q, -1)]
+    if not folders:
+        return None, upto
+    return spark.read.parquet(*[f"{path}/{folder}" for folder in folders]), upto
+
+
 def remove_covered(spark: SparkSession, root: str, name: str = VALID, grace_seconds: float = commits.GRACE_SECONDS) -> list[str]:
     """Remove micro-batch folders that were compacted, and folders of failed compactions, after the grace time."""
     path = f"{root}/{name}"

@@ -520,6 +520,8 @@ FINAL = {
     "m7_students": "SELECT * EXCLUDE (_ingested_at) FROM students",
     "g_indicador_municipio": f"SELECT {_STATUS_ROW}, nome_uf, regiao, nivel_alfabetizacao, "
     f"strftime(atualizado_em, {FMT}) AS atualizado_em, {_names(*_NUMBERS, *SHARES, 'gap_meta_pontos_percentuais')} FROM indicator",
+    "m9_refreshed_indicator": f"SELECT {_STATUS_ROW}, nome_uf, regiao, nivel_alfabetizacao, "
+    f"{_names(*_NUMBERS, *SHARES, 'gap_meta_pontos_percentuais')} FROM indicator",
     "g_indicador_uf": "SELECT ano_resultado, ano_meta, sigla_uf, serie, rede, status_meta, "
     + _names(*_NUMBERS, "gap_meta_pontos_percentuais", *SHARES)
     + " FROM state_indicator",

@@ -7,13 +7,13 @@ from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from indicator_lake.functions import measures, normalise
 from indicator_lake.operators import joins, picks, quality, ranking
-from indicator_lake.plans import dashboards, gold, lakehouse, silver
+from indicator_lake.plans import dashboards, gold, lakehouse, refresh, silver
 from indicator_lake.session import apply_settings, work_folder
-from indicator_lake.sources import catalog, loader, tables
+from indicator_lake.sources import catalog, commits, loader, tables
 from indicator_lake.streaming import contract, sinks
 from proofs.inputs import AS_OF, PROCESSED_AT, TABLES, Inputs
 
@@ -765,6 +765,36 @@ def g_indicador_municipio(lake: Lake) -> DataFrame:
     )
 
 
+def _stored_runs(lake: Lake, view: str, path: str, run_ids: Sequence[str]) -> tables.Snapshots:
+    """The rows of some runs of a source view as the loader stores them, marked as committed."""
+    rows = lake.inputs[view].where(F.col("_ingestion_run_id").isin(*run_ids))
+    dated = rows.withColumn("ingestion_date", F.to_date(F.min("_ingested_at").over(Window.partitionBy("_ingestion_run_id"))))
+    dated.write.mode("overwrite").partitionBy("ingestion_date", "_ingestion_run_id").parquet(path)
+    known = dated.groupBy("_ingestion_run_id", "ingestion_date").agg(
+        F.date_format(F.max("_ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("stamp"), F.count("*").alias("n")
+    )
+    for run_id, day, moment, n in known.collect():
+        commits.add_run(lake.spark, path, commits.Run(moment, run_id, str(day), n))
+    return tables.Snapshots(lake.spark, path)
+
+
+@proof
+def m9_refreshed_indicator(lake: Lake) -> DataFrame:
+    """The municipal indicator after three refreshes by touched keys: a new run, late events and repeated deliveries."""
+    root, views = lake.folder("refreshed"), {"municipio": "b_municipio", "meta_alfabetizacao_municipio": "b_meta_municipio",
+                                             "diretorio_municipio": "b_directory"}
+    messages = lake.inputs["b_messages"].select(F.col("value").cast("binary"), "message_id")
+    part = F.pmod(F.xxhash64("message_id"), F.lit(12))
+    for chosen, run_ids in ((part < 10, ["run-1"]), ((part >= 9) & (part < 11), ["run-1", "run-2"]), (part == 11, ["run-1", "run-2"])):
+        bronze = {name: _stored_runs(lake, view, f"{root}/bronze/{name}", run_ids) for name, view in views.items()}
+        messages.where(chosen).write.mode("append").parquet(f"{root}/messages")
+        stream = sinks.file_messages(lake.spark, f"{root}/messages")
+        sinks.start(stream, f"{root}/stream", f"{root}/checkpoint", as_of=stamp(AS_OF), drain=True).awaitTermination()
+        rows = refresh.refresh_indicator(lake.spark, bronze, f"{root}/stream", root, f"{root}/checkpoint", stamp(PROCESSED_AT), buckets=2)
+    numbers = ("taxa_alfabetizacao", "media_portugues", "meta_alfabetizacao", "percentual_participacao", "gap_meta_pontos_percentuais")
+    return rows.select(*_STATUS, "nome_uf", "regiao", "nivel_alfabetizacao", *numbers, *silver.LEVEL_SHARES)
+
+
 @proof
 def g_indicador_uf(lake: Lake) -> DataFrame:
     numbers = (
