@@ -3,9 +3,11 @@
 Pages of one host are merged into a tree: a node stands for an element under a path of tags and classes. Two
 entropies tell how much a node matters on its site: how varied its presentation is over the pages that hold it, and
 how varied its content is. A node that says the same on most pages of a site has a low entropy; branches of low
-importance are removed from each page. Elements whose tag or class says that they are menus, adverts, forms and the
-like never belong to the article, whatever their entropy, and what stands in an article or main element is never
-removed for repeating: whole articles are copied too.
+importance are removed from each page. Elements whose tag or role says that they are menus, adverts, forms and the
+like never belong to the article, whatever their entropy. Class words do the same outside an article; inside one only
+a class made of nothing but such words does, and the rest is left to the tree. What stands in an article or main
+element under no class of its own (its paragraphs, headings and lists) is never removed for repeating: articles are
+copied too.
 
 The tree counts pages: what a node says on a page is all its blocks there together, and pages of a host with the same
 blocks are one page. Pages without a host belong to no site; they stay out of the tree and lose nothing to it.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -25,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicator_lake.llm.html import END, START, TEXT, attributes, tokens
 from indicator_lake.llm.tables import stored
 
 MIN_PAGES = 8  # a node of fewer pages of a host says nothing about repetition
@@ -33,7 +37,7 @@ SHAPE = 0.1  # share of the presentation entropy in a node's importance
 
 # What tags and class names mean in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg iframe".split())
+RAW_TAGS = frozenset("script style title textarea noscript template svg iframe".split())
 BOILERPLATE_TAGS = frozenset("nav header footer aside form button select option dialog menu label head".split())
 BLOCK_TAGS = frozenset(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th thead tbody tfoot caption section article main "
@@ -54,111 +58,125 @@ CLOSED_BY = {
     "option": frozenset({"option"}), "head": BLOCK_TAGS,
 }
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[A-Za-z][^>]*>", re.S)
-_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
-_IN_ARTICLE = re.compile(r"(^|/)(article|main)([./]|$)")
-
-_NODES = "host string, row long, page long, node long, parent long, style long, content long, in_article boolean"
+_NODES = "host string, row long, page long, node long, parent long, style long, content long, plain boolean"
 _TEXTS = "page_id long, url string, row long, parts array<struct<node: long, text: string>>"
 
 
-class Element:
-    __slots__ = ("dropped", "style", "tag")
-
-    def __init__(self, tag: str, style: str, dropped: bool):
-        self.tag, self.style, self.dropped = tag, style, dropped
-
+# What an element is to the article: part of it, perhaps not (a layout word in a class), not.
+KEPT, DOUBTED, DROPPED = 0, 1, 2
+CLOSES = {tag: frozenset(t for t, by in CLOSED_BY.items() if tag in by) for tag in frozenset().union(*CLOSED_BY.values())}
+_LANDMARKS = ("html", "body", "main", "article")
 
-def _attributes(token: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(token)}
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
-def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in BOILERPLATE_TAGS or attributes.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    if tag in ("html", "body", "main", "article"):  # their classes tell about the page; an article may be a comment
-        return tag == "article" and not REPLY_WORDS.isdisjoint(named.split())
-    return any(word in BOILERPLATE_WORDS for word in _WORDS.findall(named))
 
+@lru_cache(maxsize=100_000)
+def _child(parent: int, style: str) -> tuple[int, int]:
+    """Hashes of the node below ``parent`` with this style, and of the style."""
+    return _hash(f"{parent}/{style}"), _hash(style)
 
-def blocks(html: str | None) -> Iterator[tuple[str, str, str, bool]]:
-    """(node, style, text, dropped) of each block of a page, in page order.
 
-    node is the path of elements that hold the block and style the tag with its class; a block ends where a block
-    element starts or ends. dropped marks blocks inside elements that never hold article text. Broken markup (missing
-    ends, stray ends, a page cut off) is read as far as it goes.
+class Element:
+    """An open element: its node in the tree, known by the hash of its path, and what it is to the article."""
+
+    __slots__ = ("article", "node", "parent", "plain", "style", "tag", "verdict")
+
+    def __init__(self, tag: str, style: str, classed: bool, above: Element | None, verdict: int):
+        self.tag, self.verdict = tag, verdict
+        self.parent = above.node if above else 0
+        self.node, self.style = _child(self.parent, style)
+        opens = tag in ("article", "main")
+        self.article = opens or bool(above and above.article)
+        #: Inside an article under no class but its own: never removed for repeating.
+        self.plain = opens or bool(above and above.plain and not classed)
+
+
+def _verdict(tag: str, found: dict[str, str], above: Element) -> int:
+    if above.verdict == DROPPED or tag in BOILERPLATE_TAGS or found.get("role", "").lower() in BOILERPLATE_ROLES:
+        return DROPPED
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", ""):
+        return DROPPED
+    named = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    if tag in _LANDMARKS:  # their classes tell about the page; an article may be a comment
+        return DROPPED if tag == "article" and not REPLY_WORDS.isdisjoint(named) else KEPT if tag in ("article", "main") else above.verdict
+    words = [_WORDS.findall(name) for name in named]
+    if above.article:
+        only = any(w and BOILERPLATE_WORDS.issuperset(w) for w in words)
+        return DROPPED if only else above.verdict
+    if any(not REPLY_WORDS.isdisjoint(w) for w in words):
+        return DROPPED
+    # such a word may also tell how the page is laid out around an article
+    return DOUBTED if any(not BOILERPLATE_WORDS.isdisjoint(w) for w in words) else above.verdict
+
+
+def blocks(html: str | None) -> Iterator[tuple[Element, str]]:
+    """(innermost element, text) of each block of a page, in page order.
+
+    A block ends where a block element starts or ends. Blocks whose element's verdict is not KEPT never hold article
+    text. Broken markup (missing ends, stray ends, a page cut off) is read as far as it goes. The work for a tag does
+    not depend on how deep it stands.
     """
-    html = html or ""
-    stack = [Element("", "", False)]
+    stack = [Element("", "", False, None, KEPT)]
+    open_tags: Counter[str] = Counter()
+    deciders: list[int] = []  # places in the stack of elements that a start tag may close or must stop at
     text: list[str] = []
-    at, end = 0, len(html)
 
-    def flush() -> Iterator[tuple[str, str, str, bool]]:
+    def flush() -> Iterator[tuple[Element, str]]:
         whole = _SPACE.sub(" ", "".join(text)).strip()
         text.clear()
         if whole:
-            yield "/".join(e.style for e in stack[1:]), stack[-1].style, whole, stack[-1].dropped
-
-    while at < end:
-        match = _TOKEN.search(html, at)
-        if match is None:
-            rest = html[at:]
-            cut = re.search(r"<([!?/A-Za-z]|\Z)", rest)  # a tag cut off at the page's end
-            text.append(unescape(rest[: cut.start()] if cut else rest))
-            break
-        text.append(unescape(html[at : match.start()]))
-        at, token = match.end(), match[0]
-        if token[1] in "!?":
-            continue
-        tag = _NAME.match(token)[1].lower()
-        if token[1] == "/":
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if place:
-                if tag in BLOCK_TAGS or any(e.tag in BLOCK_TAGS or e.dropped for e in stack[place:]):
-                    yield from flush()
-                del stack[place:]
-            continue
-        if tag in BLOCK_TAGS or tag in BOILERPLATE_TAGS:
-            yield from flush()
-        if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-            at = close.end() if close else end
-            continue
-        if tag in VOID or token.endswith("/>"):
-            continue
-        # an element whose end may be left out ends where the next of its kind starts
-        for i in range(len(stack) - 1, 0, -1):
-            if tag in CLOSED_BY.get(stack[i].tag, ()):
-                del stack[i:]
-                break
-            if stack[i].tag in BLOCK_TAGS and stack[i].tag != "p":
-                break
-        attributes = _attributes(token)
-        names = ".".join(attributes.get("class", "").split())
-        dropped = stack[-1].dropped or _unwanted(tag, attributes)
-        if dropped and not stack[-1].dropped:
-            yield from flush()
-        stack.append(Element(tag, f"{tag}.{names}" if names else tag, dropped))
+            yield stack[-1], whole
+
+    def close(place: int) -> None:
+        for element in stack[place:]:
+            open_tags[element.tag] -= 1
+        del stack[place:]
+        while deciders and deciders[-1] >= place:
+            deciders.pop()
+
+    for kind, tag, found in tokens(html or "", RAW_TAGS):
+        if kind == TEXT:
+            text.append(unescape(found))
+        elif kind == END:
+            if open_tags[tag] <= 0:
+                continue
+            place = len(stack) - 1
+            while stack[place].tag != tag:
+                place -= 1
+            if tag in BLOCK_TAGS or any(e.tag in BLOCK_TAGS or e.verdict for e in stack[place:]):
+                yield from flush()
+            close(place)
+        elif kind == START:
+            if tag in BLOCK_TAGS or tag in BOILERPLATE_TAGS:
+                yield from flush()
+            if tag in RAW_TAGS or tag in VOID or found.endswith("/"):
+                continue
+            # an element whose end may be left out ends where the next of its kind starts
+            while tag in CLOSES and deciders:
+                top = stack[deciders[-1]].tag
+                if top in CLOSES[tag]:
+                    close(deciders[-1])
+                    break
+                if top != "p":
+                    break
+                deciders.pop()
+            known = attributes(found) if found else {}
+            names = ".".join(known.get("class", "").split())
+            verdict = _verdict(tag, known, stack[-1])
+            if verdict != stack[-1].verdict:
+                yield from flush()
+            if tag in CLOSED_BY or tag in BLOCK_TAGS:
+                deciders.append(len(stack))
+            stack.append(Element(tag, f"{tag}.{names}" if names else tag, bool(names or known.get("id")), stack[-1], verdict))
+            open_tags[tag] += 1
     yield from flush()
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-
-
-@lru_cache(maxsize=100_000)
-def _place(node: str, style: str) -> tuple[int, int, int, bool]:
-    """Hashes of a node, of the node above it and of its style, and whether it stands in an article."""
-    return _hash(node), _hash(node[: -len(style) - 1]), _hash(style), bool(_IN_ARTICLE.search(node))
-
-
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row of hashes for each node of a page that may belong to the article; page is the hash of all these blocks."""
     names = [f.split()[0] for f in _NODES.split(", ")]
@@ -168,11 +186,11 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, row, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             said: dict[tuple, list[str]] = {}
             order = []
-            for node, style, text, dropped in blocks(html):
-                if not dropped:
-                    place = _place(node, style)
+            for element, text in blocks(html):
+                if element.verdict == KEPT:
+                    place = (element.node, element.parent, element.style, element.plain)
                     said.setdefault(place, []).append(text)
-                    order.append(f"{place[0]} {text}")
+                    order.append(f"{element.node} {text}")
             page = _hash("\n".join(order))  # a block's text holds no line feed
             rows += [(host, row, page, *place[:3], _hash("\n".join(texts)), place[3]) for place, texts in said.items()]
             if len(rows) > 8192:
@@ -188,7 +206,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         first, size, found = 0, 0, []
         for i, html in enumerate(batch.column(3).to_pylist()):
-            shown = [{"node": _place(node, style)[0], "text": text} for node, style, text, dropped in blocks(html) if not dropped]
+            shown = [{"node": e.node, "text": text} for e, text in blocks(html) if e.verdict == KEPT]
             found.append(shown)
             size += len(html or "")
             if size > 1 << 22 or i + 1 == batch.num_rows:
@@ -211,13 +229,13 @@ def _entropy(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """(host, node, importance, pages) for the nodes outside articles that enough different pages of their host hold.
+    """(host, node, importance, pages) for the nodes that may go and that enough different pages of their host hold.
 
     Importance is the entropy of the node's content over the pages, with a share of the entropy of the styles that
     stand beside it under its parent. Nodes are known by the hash of their path.
     """
     nodes = nodes.drop("row").distinct()  # equal pages of a host are one
-    texts = nodes.where("not in_article").groupBy("host", "parent", "node", "content").agg(F.count("*").alias("n"))
+    texts = nodes.where("not plain").groupBy("host", "parent", "node", "content").agg(F.count("*").alias("n"))
     content = _entropy(texts, ["host", "parent", "node"])
     styles = nodes.groupBy("host", "parent", "style").agg(F.count("*").alias("n"))
     shape = _entropy(styles, ["host", "parent"]).select("host", "parent", F.col("entropy").alias("shape"))
@@ -240,7 +258,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     sites = rows.select(host_of(F.col("url")).alias("host"), "row", "html").where("host <> ''")
     nodes = stored(sites.mapInArrow(_nodes, _NODES), "nodes")
     low = style_tree(nodes).where(F.col("importance") < LOW_IMPORTANCE).select("host", "node")
-    lost = nodes.where("not in_article").join(low, ["host", "node"], "left_semi")
+    lost = nodes.where("not plain").join(low, ["host", "node"], "left_semi")
     lost = lost.groupBy("row").agg(F.collect_set("node").alias("lost"))  # at most the nodes of one page
     texts = rows.select("page_id", "url", "row", "html").mapInArrow(_texts, _TEXTS).join(lost, "row", "left")
     kept = F.filter("parts", lambda p: ~F.coalesce(F.array_contains("lost", p["node"]), F.lit(False)))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indicator_lake.llm.html import RAW, START, TEXT, attributes, tokens
+
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 TEXT_TYPES = ("text/html", "application/xhtml+xml", "text/plain")
@@ -31,12 +33,7 @@ BREAKING = (
     "head header hr html legend li main nav ol option p pre section select summary table tbody td tfoot th thead title tr ul"
 )
 
-_SKIP = re.compile(rf"<({SKIPPED.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>", re.S)
-_BREAK = re.compile(rf"</?(?:{BREAKING.replace(' ', '|')})\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[A-Za-z][^>]*(?:>|\Z)")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
-_LINK = re.compile(r"<(?:a|area|link)\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_SKIPPED, _BREAKING = frozenset(SKIPPED.split()), frozenset(BREAKING.split())
 _SPACE = re.compile(r"[^\S\n]+")
 
 RECORD = (
@@ -54,18 +51,26 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(31).join(parts))}>"
 
 
-def plain_text(html: str) -> str:
-    """The visible text: a line for each block, spaces squeezed, character references decoded."""
-    text = _COMMENT.sub(" ", _SKIP.sub(" ", html))
-    text = unescape(_TAG.sub("", _BREAK.sub("\n", text.replace("\n", " "))))
-    lines = (_SPACE.sub(" ", line).strip() for line in text.split("\n"))
-    return "\n".join(line for line in lines if line)
-
-
-def html_facts(html: str) -> dict:
-    title = _TITLE.search(html)
-    links = [unescape("".join(m.groups(default=""))) for m in _LINK.finditer(html)]
-    return {"title": _SPACE.sub(" ", unescape(title[1])).strip() if title else None, "links": links}
+def html_parts(html: str) -> tuple[str, dict]:
+    """The visible text (a line for each block, spaces squeezed, references decoded), and the page's title and links."""
+    parts: list[str] = []
+    title, links = None, []
+    for kind, tag, found in tokens(html, _SKIPPED | {"title"}):
+        if kind == TEXT or (kind == RAW and tag == "title"):
+            parts.append(found.replace("\n", " "))
+            if kind == RAW and title is None:
+                title = _SPACE.sub(" ", unescape(parts[-1])).strip()
+        elif tag in _BREAKING:
+            parts.append("\n")
+        if kind == RAW:
+            parts.append("\n" if tag == "title" else " ")
+        if kind == START and tag in ("a", "area", "link"):
+            known = attributes(found)
+            if "href" in known:
+                links.append(unescape(known["href"]))
+    # line feeds that references stand for are kept apart from the ends of blocks by decoding line by line
+    lines = (_SPACE.sub(" ", unescape(line)).strip() for line in "".join(parts).split("\n"))
+    return "\n".join(line for line in lines if line), {"title": title, "links": links}
 
 
 def derivatives(warc: dict[str, str], http: dict[str, str], status: int | None, payload: str | None) -> Iterator[tuple]:
@@ -75,6 +80,7 @@ def derivatives(warc: dict[str, str], http: dict[str, str], status: int | None,
     kind = (http.get("content-type") or "").split(";")[0].strip().lower()
     own_digest = digest(payload.encode("utf-8", "replace"))
     is_html = kind in TEXT_TYPES[:2]
+    text, page = html_parts(payload) if is_html else (payload, None)
     facts = {
         "warc-headers": dict(sorted(warc.items())),
         "http-status": status,
@@ -82,11 +88,11 @@ def derivatives(warc: dict[str, str], http: dict[str, str], status: int | None,
         "payload-digest": own_digest,
         "payload-digest-matches": warc.get("WARC-Payload-Digest") in (None, own_digest),
         "payload-length": len(payload.encode("utf-8", "replace")),
-        "html": html_facts(payload) if is_html else None,
+        "html": page,
     }
     blocks = [("metadata", "application/json", json.dumps(facts, ensure_ascii=False, sort_keys=True))]
     if kind in TEXT_TYPES:
-        blocks.append(("conversion", "text/plain", plain_text(payload) if is_html else payload))
+        blocks.append(("conversion", "text/plain", text))
     for record_type, content_type, content in blocks:
         data = content.encode("utf-8", "replace")
         own = record_id(source, uri, date, record_type)

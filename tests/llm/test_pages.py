@@ -1,6 +1,11 @@
 """Page text by the site style tree; WARC derivatives."""
 
 import json
+import math
+import time
+from collections import Counter, defaultdict
+
+import pytest
 
 from indicator_lake.llm import style_tree, warc
 
@@ -18,19 +23,23 @@ def article(body, extra=""):
     )
 
 
+def texts(html):
+    return [text for element, text in style_tree.blocks(html) if element.verdict == style_tree.KEPT]
+
+
 def test_blocks_of_the_article_alone():
     html = article(
         "<h1>Ti&amp;tle</h1><p>One  <i>two</i>\n three&nbsp;four<!-- c --><p><b>Five<br><p>Six</b></p><form>f<input></form>"
         "<div class='cookie-notice'>n</div><section id='comments'><p>reader</p></section><ul><li>a<li>b</ul>"
     )
-    kept = [text for _, _, text, dropped in style_tree.blocks(html) if not dropped]
+    kept = texts(html)
     assert kept == ["Ti&tle", "One two three four", "Five", "Six", "a", "b"]
 
 
 def test_broken_and_cut_off_pages():
     for cut in range(0, 400, 7):
         list(style_tree.blocks(article("<p>some text &amp; more</p>" * 5)[:cut]))
-    assert [b[2] for b in style_tree.blocks("plain < text <3 and</b> <p")] == ["plain < text <3 and"]
+    assert texts("plain < text <3 and</b> <p") == ["plain < text <3 and"]
 
 
 def test_main_text_of_odd_rows(llm):
@@ -115,3 +124,62 @@ def test_other_kinds_have_metadata_alone():
     facts = json.loads(found[0][2])
     assert facts["payload-digest-matches"] is False and found[0][1]["WARC-Source-Payload-Digest"] == "sha1:OTHER"
     assert [r[0] for r in warc.derivatives(headers, {"content-type": "text/plain"}, 404, "abc")] == ["metadata", "conversion"]
+
+
+def test_quotes_open_a_value_only_behind_an_equals_sign():
+    html = "<article><p title=it's>First para</p><p>We don't know</p><p data-x='a>b' hidden-not \"x>Third</p><p a = \"1>2\">Fourth</p></article>"
+    assert texts(html) == ["First para", "We don't know", "Third", "Fourth"]
+    assert texts("<article><p>A</p><p title=\"never closed>B</p><p>C</p></article>") == ["A"]
+
+
+def test_class_words_inside_an_article():
+    names = "article-header form-factor legal-analysis search-results section-header post-related".split()
+    kept = "".join(f"<div class='{n}'><p>{n}</p></div>" for n in names)
+    gone = "".join(f"<div class='{n}'><p>x</p></div>" for n in "ad cookie-notice comments newsletter-signup share-widget".split())
+    assert texts(f"<article><p>One</p>{kept}{gone}<div role=search>x</div><div hidden>x</div></article>") == ["One", *names]
+    assert texts("<div class='layout-sidebar-left'><article><p>A</p></article><p>side</p></div>") == ["A"]
+    assert texts("<div class='comments'><article><p>reply</p></article></div><article class=comment><p>r</p></article>") == []
+
+
+@pytest.mark.parametrize("part", ["<a", '<a x="', "<div>x", "<title>", "<b>x", "</i>", "<!--", "<b><div></div>", "<li><p>", "<a =", "<p " + "a" * 50, "< ", "&amp"])
+def test_broken_and_deep_pages_take_time_in_proportion(part):
+    html = part * (1_000_000 // len(part))
+    began = time.monotonic()
+    list(style_tree.blocks(html))
+    warc.html_parts(html)
+    assert time.monotonic() - began < 20
+
+
+def test_a_notice_repeated_inside_articles_goes_by_the_tree(llm, monkeypatch):
+    body = "<h2>Introduction</h2><p>Own words {0}</p><div class='strap'><p>Same words in every article</p></div>"
+    rows = [(i, f"http://one.example/{i}", article(body.format(i))) for i in range(20)]
+    table = pages(llm, rows)
+    assert {r.page_id: r.text for r in style_tree.main_text(table).collect()} == {i: f"Introduction\nOwn words {i}" for i in range(20)}
+    monkeypatch.setattr(style_tree, "LOW_IMPORTANCE", -1.0)  # the tree switched off
+    assert all("Same words in every article" in r.text for r in style_tree.main_text(table).collect())
+
+
+def test_importance_equals_counting_by_hand(llm):
+    strap = "<div class='{2}'><p>{0}</p></div>"
+    rows = [(i, "http://x.example/", f"<body>{strap.format('Site' if i % 5 else f'T{i}', 0, 'a' if i % 3 else 'b')}<section><p>{i // 2}</p></section></body>") for i in range(24)]
+    said, styles = defaultdict(Counter), defaultdict(Counter)
+    for page in {html for _, _, html in rows}:
+        on_page = defaultdict(list)
+        for element, text in style_tree.blocks(page):
+            on_page[element.parent, element.node, element.style].append(text)
+        for (parent, node, style), texts_of in on_page.items():
+            said[parent, node]["\n".join(texts_of)] += 1
+            styles[parent][style] += 1
+
+    def entropy(counts):
+        n = sum(counts.values())
+        return -sum(c / n * math.log2(c / n) for c in counts.values()) / math.log2(n) if n > 1 else 1.0
+
+    expected = {
+        node: 0.9 * entropy(counts) + 0.1 * entropy(styles[parent])
+        for (parent, node), counts in said.items() if sum(counts.values()) >= style_tree.MIN_PAGES
+    }
+    table = pages(llm, rows).selectExpr("'x.example' AS host", "page_id AS row", "html")
+    found = style_tree.style_tree(table.mapInArrow(style_tree._nodes, style_tree._NODES)).collect()
+    assert len(found) == len(expected) >= 2
+    assert all(abs(r.importance - expected[r.node]) < 1e-9 for r in found)
