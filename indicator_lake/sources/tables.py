@@ -64,6 +64,7 @@ class Staged:
     schema: str
     rows: int
     measured: Mapping[str, int] = field(default_factory=dict)
+    partition_by: Sequence[str] = ()
 
     def read(self) -> DataFrame:
         return _read_folders(self.spark, self.path, [self.folder], self.schema)
@@ -73,7 +74,7 @@ class Staged:
 
         ``extra`` is kept with the commit.
         """
-        entry, kept = {self.folder: {"rows": self.rows}}, dict(extra or {})
+        entry, kept = {self.folder: {"rows": self.rows, "partition_by": list(self.partition_by)}}, dict(extra or {})
         commits.commit(self.spark, self.path, lambda last: commits.Commit(last.number, entry, self.schema, extra=kept))
         commits.remove_old(self.spark, self.path)
         return read_table(self.spark, self.path)
@@ -107,7 +108,16 @@ def stage(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{folder}")
     found = seen.get
-    return Staged(df.sparkSession, path, folder, schema, found["_rows"], {n: found[k] for k, n in names.items()})
+    return Staged(df.sparkSession, path, folder, schema, found["_rows"], {n: found[k] for k, n in names.items()}, partition_by)
+
+
+def live_location(spark: SparkSession, path: str) -> tuple[str, T.StructType, list[str]]:
+    """Folder, schema and partition columns of the live version of a table that ``stage`` wrote."""
+    state = commits.live(spark, path)
+    if state is None or len(state.folders) != 1:
+        raise ValueError(f"{path} is no table of one live folder")
+    folder = next(iter(state.folders))
+    return f"{path}/{folder}", T.StructType.fromJson(json.loads(state.schema)), state.folders[folder].get("partition_by", [])
 
 
 def replace_table(df: DataFrame, path: str) -> int:

@@ -460,6 +460,7 @@ FINAL = {
     "taxa_alfabetizacao AS taxa_alfabetizacao FROM newest_events",
     "w5_dense_rank_two_level": "SELECT id_municipio, sigla_uf, serie, rede, taxa_alfabetizacao AS taxa_alfabetizacao, "
     "ranking_brasil, ranking_uf FROM ranked",
+    "io14_catalog_ranking": "SELECT id_municipio, sigla_uf, serie, rede, taxa_alfabetizacao, ranking_brasil, ranking_uf FROM ranked",
     "w6_dense_rank_orders": "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, "
     "dense_rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC) AS rank_status, "
     "dense_rank() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_totalprice DESC) AS rank_priority FROM orders",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import cached_property
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from indicator_lake.functions import measures, normalise
 from indicator_lake.operators import joins, picks, quality, ranking
-from indicator_lake.plans import dashboards, gold, lakehouse, refresh, silver
+from indicator_lake.plans import dashboards, gold, lakehouse, refresh, served, silver
 from indicator_lake.session import apply_settings, work_folder
 from indicator_lake.sources import catalog, commits, loader, tables
 from indicator_lake.streaming import contract, sinks
@@ -255,10 +256,10 @@ def io14_checked_publish(lake: Lake) -> DataFrame:
     except quality.QualityFailure:
         after_violation = tables.read_table(lake.spark, f"{root}/lake/events")
     reported = refresh(events, False)
-    served = _labelled("step", good=good, after_violation=after_violation, reported=reported)
-    served = served.groupBy(F.concat(F.lit("served_"), "step").alias("name")).agg(F.count("*").alias("value"))
+    seen = _labelled("step", good=good, after_violation=after_violation, reported=reported)
+    seen = seen.groupBy(F.concat(F.lit("served_"), "step").alias("name")).agg(F.count("*").alias("value"))
     checks = tables.read_table(lake.spark, f"{root}/checks")
-    return served.unionByName(checks.groupBy(F.col("check_name").alias("name")).agg(F.max("violations").alias("value")))
+    return seen.unionByName(checks.groupBy(F.col("check_name").alias("name")).agg(F.max("violations").alias("value")))
 
 
 @proof
@@ -567,6 +568,21 @@ def w5_dense_rank_two_level(lake: Lake) -> DataFrame:
     return lake.ranked.select("id_municipio", "sigla_uf", "serie", "rede", "taxa_alfabetizacao", "ranking_brasil", "ranking_uf")
 
 
+@proof
+def io14_catalog_ranking(lake: Lake) -> DataFrame:
+    """The ranking view by its name in the session catalog, after the table below it was replaced."""
+    root, database = lake.folder("served"), f"lake_{uuid.uuid4().hex[:12]}"
+    path = f"{root}/gold/indicador_municipio"
+    tables.stage(lake.indicator.limit(0), path).publish()
+    served.serve(lake.spark, database, root)
+    tables.stage(lake.indicator, path, ["ano_meta", "sigla_uf", "id_municipio", "rede"]).publish()
+    served.serve(lake.spark, database, root)
+    return lake.spark.sql(
+        "SELECT id_municipio, sigla_uf, serie, rede, taxa_alfabetizacao, ranking_brasil, ranking_uf "
+        f"FROM {database}.ranking_municipios"
+    )
+
+
 @proof
 def w6_dense_rank_orders(lake: Lake) -> DataFrame:
     """The same ranking on a table whose groups hold very many distinct values."""
