@@ -24,6 +24,7 @@ from indicator_lake.llm import (
     warc,
 )
 from indicator_lake.llm.shipping import ship
+from indicator_lake.session import work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +44,9 @@ def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.findings(_table(spark, sf_dir, "documents"))).drop("blob")
+    docs = _table(spark, sf_dir, "documents")
+    ledger = secrets.record(docs, work_folder(spark, "secret-ledger"))
+    return secrets.digest(secrets.findings(docs, ledger, complete=True)).drop("blob")
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

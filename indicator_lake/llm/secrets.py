@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicator_lake.llm.tables import quoted, unused
@@ -130,18 +131,43 @@ def new_entries(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     return scan(unseen(versions, ledger))
 
 
-def findings(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def record(docs: DataFrame, path: str) -> DataFrame:
+    """The ledger stored at ``path`` after the blobs of docs that it did not know were scanned and added.
+
+    Two runs at once may both add a blob; its entries are equal, and one of them counts.
+    """
+    spark = docs.sparkSession
+    new = new_entries(docs, _stored_ledger(spark, path))
+    new.write.mode("append").parquet(path)
+    return spark.read.schema(new.schema).parquet(path).dropDuplicates(["blob", "rules_version"])
+
+
+def _stored_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _hits(docs: DataFrame, ledger: DataFrame | None, complete: bool) -> DataFrame:
+    """(blob, spans) of the blobs with spans; a blob without any need not travel back."""
+    known = None if ledger is None else ledger.where(F.col("rules_version") == RULES_VERSION).select("blob", "rules_version", "spans")
+    if known is None or not complete:
+        entries = new_entries(docs, ledger)
+        known = entries if known is None else entries.union(known)
+    return known.where(F.size("spans") > 0).select("blob", "spans")
+
+
+def findings(docs: DataFrame, ledger: DataFrame | None = None, complete: bool = False) -> DataFrame:
     """docs' rows (doc_id, blob, spans): each path with the spans of its blob, scanned now or found in the ledger.
 
-    Null texts are empty; each row of docs gives one row, repeated ones too; other columns are ignored.
+    A ``complete`` ledger (what ``record`` returns for docs) has them all. Null texts are empty; each row of docs
+    gives one row, repeated ones too; other columns are ignored.
     """
     paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blob_of(F.col("text")).alias("blob"))
-    entries = new_entries(docs, ledger)
-    if ledger is not None:
-        entries = entries.union(ledger.where(F.col("rules_version") == RULES_VERSION).select(*entries.columns))
-    # a blob without spans need not travel back
-    hits = entries.where(F.size("spans") > 0).select("blob", "spans")
-    return paths.join(hits, "blob", "left").select(
+    return paths.join(_hits(docs, ledger, complete), "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(_SPAN)).alias("spans")
     )
 
@@ -211,16 +237,13 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, _bound(_pieces(whole_keys(text, spans)), joined)).otherwise(text)
 
 
-def without_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def without_secrets(docs: DataFrame, ledger: DataFrame | None = None, complete: bool = False) -> DataFrame:
     """docs with the secrets of their texts masked and n_chars, where there is one, brought up to date.
 
     No row goes; a null text stays null; all other columns stay as they are.
     """
-    entries = new_entries(docs, ledger)
-    if ledger is not None:
-        entries = entries.union(ledger.where(F.col("rules_version") == RULES_VERSION).select(*entries.columns))
     own = {c: unused(docs, c) for c in ("blob", "spans", "clean")}
-    hits = entries.where(F.size("spans") > 0).select(F.col("blob").alias(own["blob"]), F.col("spans").alias(own["spans"]))
+    hits = _hits(docs, ledger, complete).select(F.col("blob").alias(own["blob"]), F.col("spans").alias(own["spans"]))
     spans = F.col(own["spans"])
     both = docs.withColumn(own["blob"], blob_of(F.col("text"))).join(hits, own["blob"], "left")
     both = both.withColumn(own["clean"], F.when(spans.isNull(), F.col("text")).otherwise(masked(F.col("text"), spans)))

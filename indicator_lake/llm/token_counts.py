@@ -1,7 +1,8 @@
 """Token counts of unigram tokenizers without building the tokens.
 
 An Aho-Corasick automaton over the vocabulary lists every match that ends at each character; dynamic programming
-carries the best score and the piece count of the best path to each place, and nothing else. Ties go as in the
+carries the best score of a path to each place, its piece count and whether it ends with an unknown piece, for as
+many places as the longest piece has characters; no path is kept or walked back. Ties go as in the
 ``tokenizers`` library: the path found first wins, which is the one whose last piece starts earliest (the longest).
 
 A place between two characters that no piece spans is a boundary of every path, so a text is scored stretch by
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 500_000  # stretches a worker keeps scored; others are scored again, so the limit changes no result
+REMEMBERED_BYTES = 128 << 20  # of stretches a worker keeps scored; others are scored again, so no limit changes a result
+ENTRY_BYTES = 150
+LONGEST_REMEMBERED = 200  # characters of a stretch
 
 
 class Unigram:
@@ -38,58 +41,57 @@ class Unigram:
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces.items():
             if piece:
-                self.automaton.add_word(piece, (len(piece), score))
+                self.automaton.add_word(piece, (len(piece), score, piece == self.unknown_piece))
         self.automaton.make_automaton()
         inner = {pair for piece in pieces for pair in zip(piece, piece[1:], strict=False)}
         # spans of characters across which no piece reaches: only a space mark after another character is tested,
         # as words are what repeats
         self.by_word = not any(b == SPACE and a != SPACE for a, b in inner)
+        self.longest = max(map(len, pieces))
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def pieces_of(self, text: str) -> int:
-        """Pieces of the best path over a whole text."""
-        n = len(text)
-        best = [0.0] + [None] * n
-        start = [0] * (n + 1)
-        unknown = [False] * (n + 1)
-        done = 0
-
-        def close(upto: int) -> None:
-            """Give every place up to ``upto`` its path by an unknown character, where that is better or the only one."""
-            nonlocal done
-            while done < upto:
-                done += 1
-                if not single[done]:
-                    score = best[done - 1] + self.unknown_score
-                    if best[done] is None or score > best[done]:
-                        best[done], start[done], unknown[done] = score, done - 1, True
-
-        single = [False] * (n + 1)
-        for last, (length, score) in self.automaton.iter(text):
-            end = last + 1
-            close(end - 1)
+        """Pieces of the best path over a whole text.
+
+        Each place holds the score of its best path, the path's pieces and whether it ends with an unknown piece; a
+        ring as long as the longest piece keeps the places that a match may still begin at.
+        """
+        size = self.longest + 1
+        best, count, open_end = [0.0] + [0.0] * self.longest, [0] * size, [False] * size
+        done, score, pieces, unknown, single = 0, None, 0, False, False  # places done, and the state of the next one
+
+        def unknown_cost(piece: str, after_unknown: bool) -> int:
+            """Unknown characters in a row are one piece, or their bytes."""
+            return len(piece.encode("utf-8", "surrogatepass")) if self.by_bytes else int(not after_unknown)
+
+        def finish() -> None:
+            """Settle the next place: an unknown character leads there if that is better or the only way."""
+            nonlocal done, score, pieces, unknown, single
+            if not single:
+                at = done % size
+                total = best[at] + self.unknown_score
+                if score is None or total > score:
+                    score, pieces, unknown = total, count[at] + unknown_cost(text[done], open_end[at]), True
+            done += 1
+            at = done % size
+            best[at], count[at], open_end[at] = score, pieces, unknown
+            score, pieces, unknown, single = None, 0, False, False
+
+        for last, (length, gain, literal) in self.automaton.iter(text):
+            while done < last:
+                finish()
             # matches of one end come longest first, so the earliest start wins a tie
             if length == 1:
-                single[end] = True
-            total = best[end - length] + score
-            if best[end] is None or total > best[end]:
-                best[end], start[end], unknown[end] = total, end - length, False
-        close(n)
-        count, at, run_end = 0, n, None
-        while at:
-            if unknown[at] or (text[start[at] : at] == self.unknown_piece):
-                run_end = at if run_end is None else run_end
-            else:
-                if run_end is not None:
-                    count += self._unknown_run(text[at:run_end])
-                    run_end = None
-                count += 1
-            at = start[at]
-        return count + (self._unknown_run(text[:run_end]) if run_end is not None else 0)
-
-    def _unknown_run(self, run: str) -> int:
-        """Unknown characters in a row are one piece, or their bytes."""
-        return len(run.encode("utf-8", "surrogatepass")) if self.by_bytes else 1
+                single = True
+            at = (last + 1 - length) % size
+            total = best[at] + gain
+            if score is None or total > score:
+                score, unknown = total, literal
+                pieces = count[at] + (unknown_cost(self.unknown_piece, open_end[at]) if literal else 1)
+        while done < len(text):
+            finish()
+        return count[done % size]
 
     def count(self, text: str) -> int:
         """Pieces of a text whose spaces are marks already."""
@@ -104,7 +106,11 @@ class Unigram:
         found = self.known.get(stretch)
         if found is None:
             found = self.pieces_of(stretch)
-            if len(self.known) < REMEMBERED:
+            if len(stretch) <= LONGEST_REMEMBERED:
+                self.held += ENTRY_BYTES + 4 * len(stretch)
+                if self.held > REMEMBERED_BYTES:
+                    self.known.clear()
+                    self.held = ENTRY_BYTES + 4 * len(stretch)
                 self.known[stretch] = found
         return found
 

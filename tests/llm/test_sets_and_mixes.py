@@ -215,6 +215,23 @@ def test_ledger_scans_only_unseen_blobs(llm, documents):
     assert found == {1: [100], 3: [100], 4: [0], 5: []}
 
 
+def test_a_stored_ledger_serves_the_next_version_of_a_table(llm, documents, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = documents([(1, "secret=abcdefgh"), (2, "plain"), (2, "plain")])
+    assert secrets.record(first, path).count() == 2
+    files = {p.name for p in (tmp_path / "ledger").glob("part-*")}
+    assert secrets.record(first, path).count() == 2
+    later = documents([(1, "secret=abcdefgh now"), (3, "secret=abcdefgh"), (4, None)])
+    ledger = secrets.record(later, path)
+    new = [str(p) for p in (tmp_path / "ledger").glob("part-*") if p.name not in files]
+    assert llm.read.parquet(*new).count() == 2 and ledger.count() == 4  # only what was not seen before
+    found = {r.doc_id: [s.start for s in r.spans] for r in secrets.findings(later, ledger, complete=True).collect()}
+    assert found == {1: [0], 3: [0], 4: []}
+    clean = secrets.without_secrets(later, ledger, complete=True).collect()
+    assert {r.doc_id: r.text for r in clean} == {1: "[SECRET] now", 3: "[SECRET]", 4: None}
+    assert secrets.record(documents([]), str(tmp_path / "none")).count() == 0
+
+
 def test_masking_leaves_the_rest(documents):
     docs = documents([(1, "a secret=abcdefgh z"), (2, None), (3, "password=" + "0" * 40), (4, "plain")])
     clean = secrets.without_secrets(docs)

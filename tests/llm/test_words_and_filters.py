@@ -167,3 +167,18 @@ def test_cotraining_without_labels(llm, documents):
     (row,) = cotraining.quality_scores(documents([(1, "some words")]), labels).collect()
     assert row.score == pytest.approx(0.5)
     assert cotraining.quality_scores(documents([]), labels).count() == 0
+
+
+def test_token_counts_of_empty_tables_and_long_texts(llm, documents, monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    assert token_counts.token_counts(documents([]), path).count() == 0
+    long = "x" * 200_000 + "日本" * 20_000
+    rows = [(1, None), (2, ""), (3, long), (3, long), (None, "a b")]
+    library = whole(list(token_counts.load_pieces(path)), True)
+    found = sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.token_counts(documents(rows), path).collect())
+    expected = [(i or 0, len(library.encode(token_counts.marked(t)).ids)) for i, t in rows]
+    assert found == sorted(expected)
+    counter = token_counts.Unigram(list(token_counts.load_pieces(path)))
+    monkeypatch.setattr(token_counts, "REMEMBERED_BYTES", 2_000)
+    assert [counter.count(f"▁word{i}▁two") for i in range(40)] == [token_counts.Unigram.pieces_of(counter, f"▁word{i}▁two") for i in range(40)]
+    assert counter.held <= 2_000 and len(counter.known) < 14
