@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from indicator_lake.llm import jaccard, mixing, packing, quality, secrets
 from indicator_lake.llm.shipping import ship
 from indicator_lake.llm.tables import stored
+from indicator_lake.session import work_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts that hold them."""
-    return secrets.without_secrets(docs)
+    ledger = secrets.record(docs, work_folder(spark, "secret-ledger"))
+    return secrets.without_secrets(docs, ledger, complete=True)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
