@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicator_lake.llm.memory import tidy
+
 REMEMBERED_BYTES = 96 << 20
 ENTRY_BYTES = 200  # of a remembered match besides its characters and ids
 LONGEST_REMEMBERED = 100  # characters of a match and bytes of its ids
@@ -338,7 +340,7 @@ def _added(df: DataFrame, name: str, source: str, row_bytes) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(arrays, [*part.schema.names, name])
                     values, first, held = [], row + 1, 0
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "text") -> DataFrame:

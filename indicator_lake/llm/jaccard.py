@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from indicator_lake.llm import vectors
+from indicator_lake.llm.memory import tidy
 from indicator_lake.llm.tables import components, stored, unused
 from indicator_lake.llm.words import mix, sliced, windows
 
@@ -136,10 +137,10 @@ def linked_pairs(texts: DataFrame, pairs: DataFrame, k: int, percent: int) -> Da
     mask = np.zeros(ID_BUCKETS, bool)
     mask[wanted.toArrow().column(0).to_numpy()] = True  # at most ID_BUCKETS rows
     few = texts.select("doc_id", "text", bucket.alias("bucket"))
-    few = few.mapInArrow(_kept(spark.sparkContext.broadcast(mask)), "doc_id long, text string")
+    few = few.mapInArrow(tidy(_kept(spark.sparkContext.broadcast(mask))), "doc_id long, text string")
     one, two = few.toDF("a", "ta"), few.toDF("b", "tb")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(_linked(k, percent), "a long, b long").distinct()
+    return both.mapInArrow(tidy(_linked(k, percent)), "a long, b long").distinct()
 
 
 def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -153,9 +154,9 @@ def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counts = vectors.total(texts.select("text").mapInArrow(_count(k), vectors.PART), BUCKETS)
+    counts = vectors.total(texts.select("text").mapInArrow(tidy(_count(k)), vectors.PART), BUCKETS)
     counts = spark.sparkContext.broadcast(counts.astype(np.int64))
-    features = stored(texts.mapInArrow(_features(k, percent, counts), _FEATURES), "features")
+    features = stored(texts.mapInArrow(tidy(_features(k, percent, counts)), _FEATURES), "features")
 
     named = features.where("n > 0 and doc_id is not null")
     classes = stored(

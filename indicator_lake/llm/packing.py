@@ -1,12 +1,12 @@
 """Hierarchical multi-length packing of tokenised documents.
 
 A document is cut into whole windows of ``context`` tokens and a rest. Each rest is routed to the context-size tier
-(a power of two, up to ``context``) that holds it. Within a tier two rests that fill it exactly go together; the
-rests of the longest tier open windows, longest first, and the gap of each window is filled from shorter tiers, with
-the longest rest that fits or, when none fits, with the front of the longest one. What stays over is packed tier by
-tier the same way, and the last, part-filled window of a task becomes sequences of exact powers of two. So windows
-hold no padding, and only a rest that fills a gap is cut. Sequences are dealt into step groups of like attention
-cost (the sum of squared piece lengths).
+(a power of two, from ``SHORTEST_TIER`` to ``context``) that holds it. Tiers are packed from the longest to the
+shortest, each into windows of its own size: its longest rest opens a window, and the gap is filled with the longest
+rest that fits, of this tier or a shorter one, or, when none fits, with the front of the longest rest of the shorter
+tiers. The last, part-filled window of a task becomes sequences of exact powers of two. So windows hold no padding,
+and only a rest that fills a gap is cut. The sequences of a tier are dealt into step groups of like attention cost
+(the sum of squared piece lengths).
 
 Documents are tokenised where they are read; only rests and the metadata of whole windows are shuffled, by a hash of
 the document. Each task packs its rests in chunks of bounded size.
@@ -26,11 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indicator_lake.llm.memory import tidy
+
 CONTEXT = 2048
 END = 1  # the id that closes a document
 CHUNK = 8192  # rests packed at a time; bounds memory, and drops nothing: what stays over joins the next chunk
 DOCS_PER_TASK = 1 << 15
 GROUP = 64  # sequences of a step group
+SHORTEST_TIER = 64
 
 _PIECES = "doc_id long, start long, doc_tokens long, length long, crc long, ids binary, place long"
 _SCHEMA = (
@@ -118,36 +121,54 @@ def _size(item: tuple) -> int:
     return len(item[3]) // 4
 
 
-def pack_rests(items: list[tuple], context: int) -> tuple[list[list[tuple]], list[tuple]]:
-    """(full windows, rests that stay over) for rests (doc, start, doc_tokens, id bytes)."""
-    longest = Rests([i for i in items if _size(i) > context // 2])
-    shorter = Rests([i for i in items if _size(i) <= context // 2])
-    full: list[list[tuple]] = []
-    while longest.items or shorter.items:
-        window = [(longest if longest.items else shorter).items.pop()]
-        gap = context - _size(window[0])
-        while gap:
-            found = shorter.take(gap)
-            if found is None:  # nothing fits whole: cut the longest of the shorter tiers, else of the longest
-                source = shorter if shorter.items else longest
-                if not source.items:
-                    return full, window
-                doc, start, tokens, ids = source.items.pop()
-                found = (doc, start, tokens, ids[: 4 * gap])
-                left = (doc, start + gap, tokens, ids[4 * gap :])
-                (shorter if _size(left) <= context // 2 else longest).put(left)
-            window.append(found)
-            gap -= _size(found)
-        full.append(window)
+def tiers(context: int) -> list[int]:
+    """Context sizes, the longest first."""
+    return [context >> k for k in range(context.bit_length()) if context >> k >= min(SHORTEST_TIER, context)]
+
+
+def tier_of(size: int, context: int) -> int:
+    """The shortest tier that holds a rest of this size."""
+    return max(1 << (size - 1).bit_length(), min(SHORTEST_TIER, context))
+
+
+def pack_rests(items: list[tuple], context: int) -> tuple[list[tuple[int, list[tuple]]], list[tuple]]:
+    """(full windows with their tiers, rests that stay over) for rests (doc, start, doc_tokens, id bytes).
+
+    Tier by tier from the longest: each rest still in the tier opens a window of the tier's size or fills one.
+    """
+    sizes = tiers(context)
+    routed: dict[int, list[tuple]] = {t: [] for t in sizes}
+    for item in items:
+        routed[tier_of(_size(item), context)].append(item)
+    pools = {t: Rests(found) for t, found in routed.items()}
+    full: list[tuple[int, list[tuple]]] = []
+    for place, tier in enumerate(sizes):
+        own, shorter = pools[tier], [pools[t] for t in sizes[place + 1 :]]
+        while own.items:
+            window = [own.items.pop()]
+            gap = tier - _size(window[0])
+            while gap:
+                found = next((x for pool in (own, *shorter) if (x := pool.take(gap)) is not None), None)
+                if found is None:  # nothing fits whole: cut the longest rest of the shorter tiers, else of this one
+                    source = next((pool for pool in shorter if pool.items), own)
+                    if not source.items:
+                        return full, window
+                    doc, start, tokens, ids = source.items.pop()
+                    found = (doc, start, tokens, ids[: 4 * gap])
+                    left = (doc, start + gap, tokens, ids[4 * gap :])
+                    pools[tier_of(_size(left), context)].put(left)
+                window.append(found)
+                gap -= _size(found)
+            full.append((tier, window))
     return full, []
 
 
-def powers(window: list[tuple], context: int) -> list[list[tuple]]:
-    """A part-filled window as sequences whose lengths are powers of two."""
+def powers(window: list[tuple], context: int) -> list[tuple[int, list[tuple]]]:
+    """A part-filled window as sequences whose lengths are powers of two, with their lengths."""
     sequences, left = [], sum(map(_size, window))
     pieces = window[::-1]
     while left:
-        room = min(context, 1 << (left.bit_length() - 1))
+        length = room = min(context, 1 << (left.bit_length() - 1))
         left -= room
         sequence = []
         while room:
@@ -157,7 +178,7 @@ def powers(window: list[tuple], context: int) -> list[list[tuple]]:
                 ids = ids[: 4 * room]
             sequence.append((doc, start, tokens, ids))
             room -= len(ids) // 4
-        sequences.append(sequence)
+        sequences.append((length, sequence))
     return sequences
 
 
@@ -165,39 +186,40 @@ def _pack(context: int, chunk: int, group: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         names = [f.split()[0] for f in _SCHEMA.split(", ")]
-        waiting: list[list[tuple]] = []  # sequences of the step groups to come
+        waiting: list[tuple[int, list[tuple]]] = []  # tier and pieces of the sequences of the step groups to come
         made = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            """Deal the waiting sequences by falling cost, back and forth, into step groups."""
+            """Deal each tier's waiting sequences by falling cost, back and forth, into step groups."""
             nonlocal waiting, made
-            if not waiting:
-                return
-            groups = max(1, len(waiting) // group)
-            order = sorted(range(len(waiting)), key=lambda i: (-sum(p[3] ** 2 for p in waiting[i]), i))
             rows = []
-            for rank, i in enumerate(order):
-                turn, place = divmod(rank, groups)
-                step = groups - 1 - place if turn % 2 else place
-                pieces, offset = waiting[i], 0
-                total = sum(p[3] for p in pieces)
-                tier = 1 << (total - 1).bit_length()
-                for doc, start, tokens, length, crc in pieces:
-                    number = (task << 33) + made + i
-                    rows.append((doc, start, length, crc, tokens, number, offset, total, tier, (task << 33) + made + step))
-                    offset += length
-            made += len(waiting)
+            for tier in sorted({t for t, _ in waiting}, reverse=True):
+                own = [pieces for t, pieces in waiting if t == tier]
+                groups = max(1, len(own) // group)
+                order = sorted(range(len(own)), key=lambda i: (-sum(p[3] ** 2 for p in own[i]), i))
+                for rank, i in enumerate(order):
+                    turn, place = divmod(rank, groups)
+                    step = groups - 1 - place if turn % 2 else place
+                    pieces, offset = own[i], 0
+                    total = sum(p[3] for p in pieces)
+                    for doc, start, tokens, length, crc in pieces:
+                        number = (task << 33) + made + i
+                        rows.append((doc, start, length, crc, tokens, number, offset, total, tier, (task << 33) + made + step))
+                        offset += length
+                made += len(own)
             waiting = []
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
 
-        def sealed(pieces: list[tuple]) -> list[tuple]:
-            return [(doc, start, tokens, len(ids) // 4, zlib.crc32(ids)) for doc, start, tokens, ids in pieces]
+        def sealed(window: tuple[int, list[tuple]]) -> tuple[int, list[tuple]]:
+            tier, pieces = window
+            return tier, [(doc, start, tokens, len(ids) // 4, zlib.crc32(ids)) for doc, start, tokens, ids in pieces]
 
         rests: list[tuple] = []
         for batch in batches:
             for doc, start, tokens, length, crc, ids in zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True):
                 if ids is None:
-                    waiting.append([(doc, start, tokens, length, crc)])
+                    waiting.append((context, [(doc, start, tokens, length, crc)]))
                 else:
                     rests.append((doc, start, tokens, ids))
                 if len(rests) >= chunk:
@@ -219,7 +241,7 @@ def packed(
     """One row per piece of docs (doc_id, text).
 
     ids_crc32 is over the piece's ids as little-endian unsigned 32-bit numbers; offset is the piece's place in its
-    sequence; sequence_length is the sequence's tokens and tier the context size that holds it. A null or empty text
+    sequence; sequence_length is the sequence's tokens and tier the context size it was packed for (they are equal). A null or empty text
     is its closing id alone. ``encode_special_tokens`` is as in ``encode``. Equal rows are separate documents. Other columns of docs are ignored. The number of
     tasks follows the number of rows, so each packs a bounded share; results are the same in every run over the
     same rows and number of tasks.
@@ -229,6 +251,6 @@ def packed(
     tasks = max(1, -(-docs.count() // docs_per_task))
     place = F.xxhash64("doc_id", "text").alias("place")
     pieces = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), place)
-    pieces = pieces.mapInArrow(_cut(tokenizer, context, encode_special_tokens), _PIECES)
+    pieces = pieces.mapInArrow(tidy(_cut(tokenizer, context, encode_special_tokens)), _PIECES)
     dealt = pieces.repartition(tasks, "place", "start").sortWithinPartitions("place", "doc_id", "start")
-    return dealt.drop("place").mapInArrow(_pack(context, CHUNK, GROUP), _SCHEMA)
+    return dealt.drop("place").mapInArrow(tidy(_pack(context, CHUNK, GROUP)), _SCHEMA)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicator_lake.llm import vectors
+from indicator_lake.llm.memory import tidy
 from indicator_lake.llm.tables import stored
 from indicator_lake.llm.words import Texts, mix, sliced, windows
 
@@ -156,7 +157,7 @@ def gains(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     # at most MOST_TRUSTED ids: bounded, so texts need no shuffle to meet them
     flagged = _texts(docs).join(F.broadcast(trusted.withColumn("good", F.lit(True))), "doc_id", "left")
     flagged = flagged.select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    found = vectors.total(flagged.mapInArrow(_count, vectors.PART), (1 + FOLDS) * BUCKETS).reshape(1 + FOLDS, BUCKETS)
+    found = vectors.total(flagged.mapInArrow(tidy(_count), vectors.PART), (1 + FOLDS) * BUCKETS).reshape(1 + FOLDS, BUCKETS)
     corpus, target = found[0], found[1:].sum(axis=0) - found[1:]
     target[target.sum(axis=1) == 0] = found[1:].sum(axis=0)  # all trusted texts in one fold
     if not target.sum():
@@ -213,7 +214,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """
     spark = docs.sparkSession
     gain = spark.sparkContext.broadcast(gains(docs, trusted_ids(labels)))
-    judged = stored(_texts(docs).mapInArrow(_judge(gain), _SCHEMA), "judged")
+    judged = stored(_texts(docs).mapInArrow(tidy(_judge(gain)), _SCHEMA), "judged")
     score = F.when(F.col("n_words") > 0, F.col("score") + F.lit(cut_shift(judged, labels))).otherwise(0.0)
     judged = judged.withColumn("score", score)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
@@ -226,7 +227,7 @@ def passing(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """
     spark = docs.sparkSession
     gain = spark.sparkContext.broadcast(gains(docs, trusted_ids(labels)))
-    shift = cut_shift(_texts(docs).mapInArrow(_judge(gain), _SCHEMA), labels)
+    shift = cut_shift(_texts(docs).mapInArrow(tidy(_judge(gain)), _SCHEMA), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(gain, shift, threshold)
@@ -236,4 +237,4 @@ def passing(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             verdict = next(judge(iter([pa.RecordBatch.from_arrays([ids, text], ["doc_id", "text"])])))
             yield batch.filter(verdict.column(7))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

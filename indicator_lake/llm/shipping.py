@@ -8,12 +8,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from indicator_lake.llm.memory import BATCH_BYTES
+
 _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the executors, once per application (as ``--py-files`` would)."""
+    """Send the package to the executors, once per application (as ``--py-files`` would), and bound its Arrow batches."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if context.applicationId not in _SENT:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder = tempfile.mkdtemp(prefix="package-")  # read by the driver alone; Spark copies the file to executors

@@ -329,7 +329,7 @@ def test_pieces_hold_every_id_once_without_padding(documents):
     for parts in sequences.values():
         at = 0
         for row in sorted(parts, key=lambda r: r.offset):
-            assert row.offset == at and row.sequence_length == sum(r.length for r in parts) <= row.tier <= 2048
+            assert row.offset == at and row.sequence_length == sum(r.length for r in parts) == row.tier <= 2048
             at += row.length
         assert at & (at - 1) == 0  # nothing to pad
     assert packing.packed(documents([]), PATH).count() == 0
@@ -359,10 +359,33 @@ def test_queries_split_texts_at_added_tokens_as_the_library_does(llm, documents,
 def test_rests_of_one_length_fill_windows():
     rests = [(i, 0, 1100, bytes(4 * 1100)) for i in range(100)]
     full, left = packing.pack_rests(rests, 2048)
-    assert all(sum(map(packing._size, w)) == 2048 for w in full)
+    assert all(sum(map(packing._size, w)) == tier == 2048 for tier, w in full)
     assert sum(map(packing._size, left)) == 100 * 1100 - 2048 * len(full) < 2048
 
 
+def test_each_tier_packs_what_was_routed_to_it():
+    rng = random.Random(3)
+    sizes = [rng.choice([rng.randint(1, 60), rng.randint(65, 500), rng.randint(513, 1024), rng.randint(1025, 2047)]) for _ in range(900)]
+    sizes += [900] * 400  # more than the gaps of longer tiers take
+    rests = [(i, 0, n, bytes(4 * n)) for i, n in enumerate(sizes)]
+    full, left = packing.pack_rests(rests, 2048)
+    by_tier = defaultdict(list)
+    for tier, window in full:
+        assert sum(map(packing._size, window)) == tier
+        by_tier[tier].append(window)
+    assert {2048, 1024} <= set(by_tier) and len(by_tier[1024]) > 100
+    for tier, windows in by_tier.items():  # each window is opened by a rest routed to its tier
+        assert all(packing.tier_of(packing._size(w[0]), 2048) == tier for w in windows)
+        longer = [p for w in windows for p in w[1:] if packing._size(p) > tier // 2]
+        assert not longer or tier == packing.SHORTEST_TIER
+    found = defaultdict(int)
+    for window in [*(w for _, w in full), left]:
+        for doc, _, _, ids in window:
+            found[doc] += len(ids) // 4
+    assert dict(found) == dict(enumerate(sizes))
+    assert packing.tiers(2048) == [2048, 1024, 512, 256, 128, 64] and packing.tiers(16) == [16]
+
+
 def test_step_groups_cost_alike(documents):
     docs = documents([(i, "the cat " * (20 + 37 * i % 900)) for i in range(400)])
     cost, size = defaultdict(int), defaultdict(set)
