@@ -60,16 +60,13 @@ def _results(table: str, place: str, value: str) -> str:
 
 
 def _targets(table: str, place: str, value: str, level: str) -> str:
-    metas = ", ".join(f"{_double(f'meta_alfabetizacao_{y}')} AS meta_{y}" for y in YEARS)
-    names = ", ".join(f"meta_{y}" for y in YEARS)
-    prepared = (
-        f"(SELECT try_cast(ano AS bigint) AS ano_resultado, {value} AS {place}, {_lower('rede')} AS rede, "
-        f"{_double('taxa_alfabetizacao')} AS taxa_alfabetizacao_base, {level} AS nivel_alfabetizacao, "
-        f"{_double('percentual_participacao')} AS percentual_participacao, _ingested_at, {metas} {_newest(table)})"
-    )
+    aims = ", ".join(f"{{'year': cast({y} AS bigint), 'value': {_double(f'meta_alfabetizacao_{y}')}}}" for y in YEARS)
+    each = f"(SELECT *, unnest([{aims}]) AS aim {_newest(table)})"
     long = (
-        f"(SELECT * EXCLUDE (meta_col), cast(replace(meta_col, 'meta_', '') AS bigint) AS ano_meta "
-        f"FROM {prepared} UNPIVOT (meta_alfabetizacao FOR meta_col IN ({names})))"
+        f"(SELECT try_cast(ano AS bigint) AS ano_resultado, aim.year AS ano_meta, {value} AS {place}, {_lower('rede')} AS rede, "
+        f"aim.value AS meta_alfabetizacao, {_double('taxa_alfabetizacao')} AS taxa_alfabetizacao_base, "
+        f"{level} AS nivel_alfabetizacao, {_double('percentual_participacao')} AS percentual_participacao, _ingested_at "
+        f"FROM {each} WHERE aim.value IS NOT NULL)"
     )
     return _first(long, f"ano_resultado, ano_meta, {place}, rede", "_ingested_at DESC")
 
@@ -220,22 +217,21 @@ VIEWS = {
     / nullif(sum(coalesce(peso_aluno, 1)) FILTER (alfabetizado_flag IS NOT NULL), 0) * 100
     AS percentual_alfabetizados_ponderado
   FROM students GROUP BY 1, 2, 3""",
-    "features": """SELECT a.ano, a.id_municipio, d.nome_municipio, d.sigla_uf, d.nome_uf, d.regiao, a.rede,
-  a.quantidade_alunos, a.alunos_presentes, a.alunos_presentes / cast(a.quantidade_alunos AS double) * 100 AS taxa_presenca,
-  a.proficiencia_media, a.proficiencia_desvio_padrao,
-  a.alfabetizados / nullif(cast(a.conhecidos AS double), 0) * 100 AS percentual_alfabetizados_microdados,
-  a.percentual_alfabetizados_ponderado, r.taxa AS target_taxa_alfabetizacao, r.media AS media_portugues,
-  m.primeira_meta, m.meta_2030, m.nivel AS nivel_alfabetizacao, m.participacao AS percentual_participacao,
-  r.taxa - m.meta_2030 AS gap_meta_2030
-  FROM student_groups a
-  LEFT JOIN (SELECT ano, id_municipio, rede, max(taxa_alfabetizacao) AS taxa, max(media_portugues) AS media
-             FROM results GROUP BY 1, 2, 3) r ON r.ano = a.ano AND r.id_municipio = a.id_municipio AND r.rede = a.rede
-  LEFT JOIN (SELECT ano_resultado, id_municipio, rede, max(CASE WHEN ano_meta = 2030 THEN meta_alfabetizacao END) AS meta_2030,
-               min(CASE WHEN ano_meta >= 2024 THEN meta_alfabetizacao END) AS primeira_meta,
-               max(nivel_alfabetizacao) AS nivel, max(percentual_participacao) AS participacao
-             FROM targets GROUP BY 1, 2, 3) m
-    ON m.ano_resultado = a.ano AND m.id_municipio = a.id_municipio AND m.rede = a.rede
-  LEFT JOIN dim d ON d.id_municipio = a.id_municipio""",
+    "extremes": """SELECT ano, id_municipio, rede, max(rate) AS best_rate, max(mark) AS best_mark,
+  max(aim) FILTER (aim_year = 2030) AS final_aim, min(aim) FILTER (aim_year >= 2024) AS lowest_aim,
+  max(level) AS top_level, max(part) AS top_part
+  FROM (SELECT ano, id_municipio, rede, taxa_alfabetizacao AS rate, media_portugues AS mark, NULL::bigint AS aim_year,
+          NULL::double AS aim, NULL::bigint AS level, NULL::double AS part FROM results
+        UNION ALL SELECT ano_resultado, id_municipio, rede, NULL, NULL, ano_meta, meta_alfabetizacao, nivel_alfabetizacao,
+          percentual_participacao FROM targets) GROUP BY ano, id_municipio, rede""",
+    "features": """SELECT ano, id_municipio, rede, quantidade_alunos, alunos_presentes,
+  alunos_presentes / cast(quantidade_alunos AS double) * 100 AS taxa_presenca, proficiencia_media, proficiencia_desvio_padrao,
+  alfabetizados / nullif(cast(conhecidos AS double), 0) * 100 AS percentual_alfabetizados_microdados,
+  percentual_alfabetizados_ponderado, best_rate AS target_taxa_alfabetizacao, best_mark AS media_portugues,
+  lowest_aim AS primeira_meta, final_aim AS meta_2030, top_level AS nivel_alfabetizacao, top_part AS percentual_participacao,
+  best_rate - final_aim AS gap_meta_2030, nome_municipio, sigla_uf, nome_uf, regiao
+  FROM student_groups LEFT JOIN extremes USING (ano, id_municipio, rede)
+  LEFT JOIN (SELECT id_municipio, nome_municipio, sigla_uf, nome_uf, regiao FROM dim) USING (id_municipio)""",
 }
 
 

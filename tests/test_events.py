@@ -34,7 +34,7 @@ CASES = [
     ({"nome_aluno": "x"}, ["extra_field"]),
     ({"sigla_uf": "XX"}, ["sigla_uf"]),
     ({"sigla_uf": "\tpe\x1f"}, []),
-    ({"id_municipio": 2611606}, ["id_municipio"]),
+    ({"id_municipio": 4205407}, ["id_municipio"]),
     ({"id_municipio": "1234567\n"}, ["id_municipio"]),
     ({"meta_alfabetizacao": None}, []),
     ({"meta_alfabetizacao": 101}, ["meta_alfabetizacao"]),
