@@ -555,6 +555,13 @@ FINAL = {
     "full_refresh_counts": _refreshed(),
 }
 
+# The same rows from tables stored in buckets.
+FINAL |= {
+    "j1_colocated_targets": FINAL["j1_result_targets_left"],
+    "j8_colocated_nearest_target": FINAL["j8_nearest_target"],
+    "w4_colocated_latest_event": FINAL["w4_latest_event"],
+}
+
 
 def _uses(sql: str) -> set[str]:
     return {word for word in re.findall(r"\w+", sql) if word in VIEWS}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from indicator_lake.functions import measures, normalise
 from indicator_lake.operators import joins, picks, quality, ranking
-from indicator_lake.plans import dashboards, gold, lakehouse, refresh, served, silver
+from indicator_lake.plans import colocated, dashboards, gold, lakehouse, refresh, served, silver
 from indicator_lake.session import apply_settings, work_folder
 from indicator_lake.sources import catalog, commits, loader, tables
 from indicator_lake.streaming import contract, sinks
@@ -96,6 +96,13 @@ class Lake:
         loader.replace_table(self.indicator, path)
         return tables.read_table(self.spark, path)
 
+    def colocated(self, *names: str) -> list[DataFrame]:
+        """Some of results, targets and events as catalog tables in buckets of their common keys."""
+        cleaned = {"municipio_resultado": "results", "meta_municipio": "targets", "eventos_indicador_tratados": "events"}
+        wanted = {name: getattr(self, cleaned[name]) for name in names}
+        database = f"colocated_{uuid.uuid4().hex[:12]}"
+        return list(colocated.store_colocated(self.spark, database, self.folder("colocated"), wanted, 8, writers=1).values())
+
     @cached_property
     def current(self) -> DataFrame:
         return gold.situacao_atual_municipio(self.indicator)
@@ -421,8 +428,18 @@ def q6_not_future(lake: Lake) -> DataFrame:
 
 @proof
 def j1_result_targets_left(lake: Lake) -> DataFrame:
+    return _target_sums(lake.results, lake.targets)
+
+
+@proof
+def j1_colocated_targets(lake: Lake) -> DataFrame:
+    """Results and targets joined bucket by bucket."""
+    return _target_sums(*lake.colocated("municipio_resultado", "meta_municipio"))
+
+
+def _target_sums(results: DataFrame, targets: DataFrame) -> DataFrame:
     keys = {"ano": "ano_resultado", "id_municipio": "id_municipio", "rede": "rede"}
-    rows = joins.with_targets(lake.results, lake.targets, keys, ("ano_meta", "meta_alfabetizacao"))
+    rows = joins.with_targets(results, targets, keys, ("ano_meta", "meta_alfabetizacao"))
     return rows.groupBy("ano_meta").agg(
         F.count("*").alias("n_rows"),
         F.round(F.sum("meta_alfabetizacao"), 4).alias("sum_target"),
@@ -461,7 +478,17 @@ def j6_orphans_anti(lake: Lake) -> DataFrame:
 
 @proof
 def j8_nearest_target(lake: Lake) -> DataFrame:
-    rows = gold.batch_branch(lake.results, lake.targets, lake.dim)
+    return _nearest(lake, lake.results, lake.targets)
+
+
+@proof
+def j8_colocated_nearest_target(lake: Lake) -> DataFrame:
+    """Join and pick bucket by bucket; the directory alone is shuffled or broadcast."""
+    return _nearest(lake, *lake.colocated("municipio_resultado", "meta_municipio"))
+
+
+def _nearest(lake: Lake, results: DataFrame, targets: DataFrame) -> DataFrame:
+    rows = gold.batch_branch(results, targets, lake.dim)
     order = [measures.target_distance(F.col("ano_meta"), F.col("ano_resultado")), F.col("ano_meta").asc()]
     nearest = picks.first_per_key(rows, ["ano_resultado", "id_municipio", "serie", "rede"], order)
     return nearest.select("ano_resultado", "id_municipio", "serie", "rede", "ano_meta", "meta_alfabetizacao")
@@ -559,7 +586,17 @@ def w3_series_priority(lake: Lake) -> DataFrame:
 
 @proof
 def w4_latest_event(lake: Lake) -> DataFrame:
-    rows = gold.latest_event(lake.events)
+    return _newest_events(lake.events)
+
+
+@proof
+def w4_colocated_latest_event(lake: Lake) -> DataFrame:
+    """The newest event of each key, picked bucket by bucket."""
+    return _newest_events(*lake.colocated("eventos_indicador_tratados"))
+
+
+def _newest_events(events: DataFrame) -> DataFrame:
+    rows = gold.latest_event(events)
     return rows.select("ano", "id_municipio", "serie", "rede", "id_evento", shown("data_evento"), "taxa_alfabetizacao")
 
 
