@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from indicator_lake.operators.picks import INGESTED_AT, RUN_ID, latest_run
 from indicator_lake.sources import commits
+from indicator_lake.sources.clustering import interleaved
 
 INGESTION_DATE = "ingestion_date"
 # A missing folder, or one that a failed first write left without data files.
@@ -87,16 +88,23 @@ def stage(
     partition_by: Sequence[str] = (),
     max_rows_per_file: int = 5_000_000,
     measures: Mapping[str, Column] | None = None,
+    look_up: Sequence[str] = (),
+    interleave: bool = False,
 ) -> Staged:
     """Write a new version of a table beside the live one, sorted so that min/max statistics prune on ``cluster_by``.
 
     Ranges are cut on partition + cluster columns and then on a hash of the row, so that rows sharing one hot value
     still spread over several tasks and files. Rows and ``measures`` (aggregates) are counted while they are written.
+    With ``interleave`` the cluster columns count alike (one more pass finds their quantiles), so a filter on any of
+    them prunes, not only one on the first. Columns in ``look_up`` get Bloom filters, by which a scan for one of their
+    values skips row groups whose min and max enclose it.
     """
     folder, order = commits.new_folder(), [*partition_by, *[c for c in cluster_by if c not in partition_by]]
     fields = [*[f for f in df.schema if f.name not in partition_by], *[df.schema[c] for c in partition_by]]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields]).json()
     if order:
+        if interleave and len(order) - len(partition_by) > 1:
+            order = [*partition_by, interleaved(df, order[len(partition_by) :])]
         df = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
     names = {f"_measure_{i}": name for i, name in enumerate(measures or {})}
     counted = [measures[name].alias(key) for key, name in names.items()]
@@ -104,6 +112,10 @@ def stage(
     # observed above the exchange: the job that finds the ranges runs what lies below it once more
     writer = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *counted).write
     writer = writer.option("maxRecordsPerFile", max_rows_per_file).option("compression", "snappy")
+    for name in look_up:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    if look_up:  # sized by the distinct values of each row group
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{folder}")

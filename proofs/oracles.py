@@ -371,6 +371,12 @@ FINAL = {
     "io12_preflight": _per_table("SELECT '{t}' AS name, 1 AS acesso_ok FROM {t} HAVING count(*) > 0"),
     "io15_partition_pruned_scan": "SELECT event_type, count(*) AS n_rows, round(sum(value), 2) AS total FROM events "
     "WHERE cast(ts AS date) BETWEEN date '2024-01-08' AND date '2024-01-14' GROUP BY 1",
+    "io15_point_lookup": "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem "
+    "WHERE l_orderkey = (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 1)",
+    "io15_interleaved_scan": "SELECT part, o_orderpriority, count(*) AS n_rows, round(sum(o_totalprice), 2) AS total FROM ("
+    "SELECT 'customer' AS part, * FROM orders WHERE o_custkey = "
+    "(SELECT o_custkey FROM orders GROUP BY 1 ORDER BY count(*) DESC, o_custkey LIMIT 1) UNION ALL "
+    "SELECT 'week', * FROM orders WHERE o_orderdate < (SELECT min(o_orderdate) FROM orders) + interval 7 days) GROUP BY 1, 2",
     "p1_safe_cast": """SELECT event_type, cast(0 AS bigint) AS n_word,
   cast(sum(cast(regexp_extract(props, '([0-9]+)', 1) AS bigint)) AS bigint) AS sum_k,
   cast(count_if(regexp_full_match(cast(value AS varchar), '[+-]?[0-9]+')) AS bigint) AS n_text_long,

@@ -246,6 +246,33 @@ def io15_partition_pruned_scan(lake: Lake) -> DataFrame:
     return week.groupBy("event_type").agg(F.count("*").alias("n_rows"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@proof
+def io15_point_lookup(lake: Lake) -> DataFrame:
+    """Lines of the dearest order, looked up by its key in a table with a Bloom filter on that key, sorted by another."""
+    path, orders = lake.folder("looked-up"), lake.inputs["orders"]
+    tables.stage(lake.inputs["lineitem"], path, ["l_shipdate"], look_up=["l_orderkey"]).publish()
+    dearest = orders.select(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey"))).scalar()
+    lines = tables.read_table(lake.spark, path).where(F.col("l_orderkey") == dearest)
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+@proof
+def io15_interleaved_scan(lake: Lake) -> DataFrame:
+    """Orders of the busiest customer and orders of the first week, from one table interleaved by customer and day."""
+    path, orders = lake.folder("interleaved"), lake.inputs["orders"]
+    tables.stage(orders, path, ["o_custkey", "o_orderdate"], interleave=True).publish()
+    stored = tables.read_table(lake.spark, path)
+    counts = orders.groupBy("o_custkey").count()
+    busiest = counts.select(F.max_by("o_custkey", F.struct("count", -F.col("o_custkey")))).scalar()
+    first = orders.select(F.min("o_orderdate")).scalar()
+    parts = _labelled(
+        "part",
+        customer=stored.where(F.col("o_custkey") == busiest),
+        week=stored.where(F.col("o_orderdate") < first + F.expr("interval 7 days")),
+    )
+    return parts.groupBy("part", "o_orderpriority").agg(F.count("*").alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @proof
 def io14_checked_publish(lake: Lake) -> DataFrame:
     """Rows served after a good version, after one that breaks its rules, and after that one without strictness."""
