@@ -39,3 +39,12 @@ def test_smaller_task_sizes_of_the_session_are_kept(kept_conf):
 
 def test_pieces():
     assert [pieces(n, 10, 2) for n in (0, 20, 21)] == [2, 2, 3]
+
+
+def _planned(rows) -> str:
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
+def test_the_ranking_reads_the_current_status_from_a_table(kept_conf):
+    assert "row_number" not in _planned(queries.Lake(kept_conf, SF_DIR).ranked)
