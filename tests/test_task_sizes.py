@@ -48,3 +48,14 @@ def _planned(rows) -> str:
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
 def test_the_ranking_reads_the_current_status_from_a_table(kept_conf):
     assert "row_number" not in _planned(queries.Lake(kept_conf, SF_DIR).ranked)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
+def test_buckets_follow_the_input(kept_conf, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries.colocated, "store_colocated", lambda s, db, root, wanted, number, **_: asked.append(number) or {})
+    lake = queries.Lake(kept_conf, SF_DIR)
+    for size in (1 << 20, 1 << 30, 6 << 30):
+        monkeypatch.setattr(lake.inputs, "size", lambda *names, size=size: size)
+        lake.colocated()
+    assert asked == [8, 128, 768]
