@@ -59,3 +59,8 @@ def test_buckets_follow_the_input(kept_conf, monkeypatch):
         monkeypatch.setattr(lake.inputs, "size", lambda *names, size=size: size)
         lake.colocated()
     assert asked == [8, 128, 768]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
+def test_places_are_counted_from_what_was_found_once(kept_conf):
+    assert "Window" not in _planned(queries.a9_count_distinct(queries.Lake(kept_conf, SF_DIR)))
