@@ -64,3 +64,15 @@ def test_buckets_follow_the_input(kept_conf, monkeypatch):
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
 def test_places_are_counted_from_what_was_found_once(kept_conf):
     assert "Window" not in _planned(queries.a9_count_distinct(queries.Lake(kept_conf, SF_DIR)))
+
+
+def test_bag_difference_counts_as_except_all(spark):
+    columns = "a int, b double"
+    stored = spark.createDataFrame([(1, None), (1, None), (2, 0.5), (3, 1.0)], columns)
+    expected = spark.createDataFrame([(1, None), (2, 0.5), (2, 0.5), (4, 1.0)], columns)
+    found = queries._bag_difference(stored, expected)
+    assert dict(found.collect()) == {
+        "stored": 4, "missing": expected.exceptAll(stored).count(), "surplus": stored.exceptAll(expected).count()}
+    assert _planned(found).count("LogicalRDD") == 2  # each side is computed once
+    none = stored.limit(0)
+    assert dict(queries._bag_difference(none, none).collect()) == {"stored": 0, "missing": 0, "surplus": 0}
