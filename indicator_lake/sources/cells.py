@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from indicator_lake.sources import commits
 
 CELL = "cell"
-_FILES_PER_CELL = 4  # rows of one cell are dealt to so many tasks, so that a hot cell is not one task
 
 
 def read_cells(spark: SparkSession, path: str, cells: Collection[str] | None = None) -> DataFrame | None:
@@ -41,7 +40,8 @@ def replace_cells(
     before = commits.live(spark, path)
     folder, schema = commits.new_folder(), T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema]).json()
     dealt = rows.withColumn(CELL, F.coalesce(cell, F.lit("none")))
-    dealt = dealt.repartition(CELL, F.pmod(F.xxhash64(*rows.columns), F.lit(_FILES_PER_CELL)))
+    # AQE splits a large cell and merges small ones by size, so that neither a hot cell nor a grown one is one task
+    dealt = dealt.hint("rebalance", CELL)
     dealt.write.option("compression", "snappy").partitionBy(CELL).parquet(f"{path}/{folder}")
     prefix = f"{CELL}="
     written = [n for n in commits.Files(spark, path).names(folder) if n.startswith(prefix)]

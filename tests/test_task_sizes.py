@@ -76,3 +76,26 @@ def test_bag_difference_counts_as_except_all(spark):
     assert _planned(found).count("LogicalRDD") == 2  # each side is computed once
     none = stored.limit(0)
     assert dict(queries._bag_difference(none, none).collect()) == {"stored": 0, "missing": 0, "surplus": 0}
+def test_a_large_cell_is_written_by_as_many_tasks_as_its_size_asks(kept_conf, tmp_path):
+    kept_conf.conf.set(SIZES[0], "256k")
+    rows = kept_conf.range(0, 200_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    path = str(tmp_path / "cells")
+    replace_cells(rows, path, F.lit("hot"))
+    assert len(list(tmp_path.glob("cells/*/cell=hot/*.parquet"))) > 8
+    assert read_cells(kept_conf, path).select(F.count("*"), F.count_distinct("id")).first()[:] == (200_000, 200_000)
+
+
+def test_no_window_gathers_a_run(spark, tmp_path):
+    """The days of stored runs come from one aggregate: each run is written by more than one task."""
+
+    class Bronze:
+        inputs = {"b": spark.range(0, 40, 1, 4).selectExpr(
+            "id", "timestamp '2024-01-01 10:00:00' + make_interval(0, 0, 0, cast(id % 2 AS int)) AS _ingested_at",
+            "concat('run-', id % 2) AS _ingestion_run_id")}
+
+    Bronze.spark = spark
+    runs = queries._stored_runs(Bronze, "b", str(tmp_path / "b"), ["run-0", "run-1"])
+    assert [tuple(r) for r in runs.runs().select("run_id", "day", "rows").collect()] == [
+        ("run-0", "2024-01-01", 20), ("run-1", "2024-01-02", 20)]
+    assert len(list(tmp_path.glob("b/ingestion_date=2024-01-01/*/*.parquet"))) == 4
+    assert runs.latest().count() == 20
