@@ -82,3 +82,22 @@ def test_bands_follow_the_values(spark):
     values = spark.range(8000).select(F.lit("g").alias("g"), F.exp(F.col("id") / 500).alias("v"))
     sizes = [r["count"] for r in _banded(values, ["g"], "v", 16).groupBy("_band").count().collect()]
     assert sum(sizes) == 8000 and max(sizes) < 2 * 8000 / 16
+
+
+def test_rows_are_sorted_by_text_keys_before_years(spark):
+    """A sort compares the first key by eight bytes; a year would leave whole rows to be compared."""
+    rows = spark.createDataFrame([(2024, "b", 1), (2024, "a", 2), (2024, "a", 3), (2023, "a", 4), (2024, None, 5)], "ano int, id string, n int")
+    picked = picks.first_per_key(rows, ["ano", "id"], [F.col("n").desc()])
+    assert "windowspecdefinition(id#" in picked._jdf.queryExecution().optimizedPlan().toString()
+    assert picked.columns == rows.columns
+    assert {tuple(r) for r in picked.collect()} == {(2024, "b", 1), (2024, "a", 3), (2023, "a", 4), (2024, None, 5)}
+
+
+def test_the_newest_run_is_found_among_one_row_per_run(spark):
+    rows = spark.sql(
+        "SELECT id, concat('run-', id % 3) AS _ingestion_run_id, "
+        "CASE WHEN id % 3 < 2 THEN timestamp '2024-01-01' END AS _ingested_at FROM range(9)"
+    )
+    found = picks.latest_run(rows)
+    assert "Aggregate [_ingestion_run_id#" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.id for r in found.collect()) == [1, 4, 7]  # equal stamps: the larger id; no stamp: never
