@@ -33,5 +33,11 @@ def test_groups_of_cells_equal_groups_of_line_items(spark, name):
 
 def test_sources_and_the_search_for_their_newest_run_read_stored_cells(spark):
     lake = Lake(spark, SF_DIR)
-    for df in (lake.results, lake.state_results, lake.targets, lake.state_targets, lake.national_targets):
+    for df in (lake.results, lake.state_results, lake.targets, lake.state_targets, lake.national_targets, lake.indicator):
         assert "l_shipdate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_both_branches_of_the_indicator_read_stored_targets(spark):
+    lake = Lake(spark, SF_DIR)
+    files = [f for f in lake.indicator.inputFiles() if "/targets-" in f]
+    assert files and not [f for f in lake.indicator.inputFiles() if "lineitem" in f]
