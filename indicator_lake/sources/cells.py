@@ -29,10 +29,16 @@ def read_cells(spark: SparkSession, path: str, cells: Collection[str] | None = N
 
 
 def replace_cells(
-    rows: DataFrame, path: str, cell: Column, touched: Collection[str] | None = None, extra: Mapping | None = None
+    rows: DataFrame,
+    path: str,
+    cell: Column,
+    touched: Collection[str] | None = None,
+    extra: Mapping | None = None,
+    kept: DataFrame | None = None,
 ) -> None:
-    """Put ``rows`` in place of the touched cells (of the whole table without ``touched``).
+    """Put ``rows`` and ``kept`` in place of the touched cells (of the whole table without ``touched``).
 
+    ``kept`` holds those rows of the touched cells that stay: they lie by cell already and are not shuffled.
     Touched cells without rows vanish. ``extra`` is kept with the commit. If another writer committed since the
     rows were computed, the change is refused: it may rest on rows that are gone.
     """
@@ -42,6 +48,8 @@ def replace_cells(
     dealt = rows.withColumn(CELL, F.coalesce(cell, F.lit("none")))
     # AQE splits a large cell and merges small ones by size, so that neither a hot cell nor a grown one is one task
     dealt = dealt.hint("rebalance", CELL)
+    if kept is not None:
+        dealt = dealt.unionByName(kept.withColumn(CELL, F.coalesce(cell, F.lit("none"))))
     dealt.write.option("compression", "snappy").partitionBy(CELL).parquet(f"{path}/{folder}")
     prefix = f"{CELL}="
     written = [n for n in commits.Files(spark, path).names(folder) if n.startswith(prefix)]
@@ -70,15 +78,17 @@ def matching(rows: DataFrame, keys: DataFrame, on: Mapping[str, str], how: str =
 
 
 def changed_keys(old: DataFrame | None, new: DataFrame, keys: Collection[str], ignore: Collection[str] = ()) -> DataFrame:
-    """Keys whose rows differ between two versions; rows travel as key and hash, added up before the shuffle."""
+    """Keys whose rows differ between two versions; rows travel as key and hash, added up before the shuffle.
+
+    The halves of the hashes are added apart: 64-bit sums of them cannot overflow below two billion rows of a key.
+    """
     columns = [c for c in new.columns if c not in ignore]
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
-        code = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")
-        return df.select(*keys, (code * sign).cast("decimal(38,0)").alias("_code"), F.lit(sign).alias("_sign"))
+        coded = df.select(*keys, F.xxhash64(*[F.col(c) for c in columns]).alias("_hash"))
+        high, low = F.shiftright("_hash", 32), F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
+        return coded.select(*keys, (high * sign).alias("_high"), (low * sign).alias("_low"), F.lit(sign).alias("_sign"))
 
     both = signed(new, 1) if old is None else signed(new, 1).unionByName(signed(old, -1))
-    sums = both.groupBy(*keys).agg(F.sum("_code").alias("_code"), F.sum("_sign").alias("_sign"))
-    return sums.where("_code <> 0 or _sign <> 0").select(*keys)
-
-
+    sums = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("_high", "_low", "_sign")])
+    return sums.where("_high <> 0 or _low <> 0 or _sign <> 0").select(*keys)

@@ -99,3 +99,39 @@ def test_no_window_gathers_a_run(spark, tmp_path):
         ("run-0", "2024-01-01", 20), ("run-1", "2024-01-02", 20)]
     assert len(list(tmp_path.glob("b/ingestion_date=2024-01-01/*/*.parquet"))) == 4
     assert runs.latest().count() == 20
+
+
+def test_a_committed_run_is_not_stored_again(spark, tmp_path):
+    class Bronze:
+        inputs = {"b": spark.range(20).selectExpr(
+            "id", "timestamp '2024-01-01 10:00:00' + make_interval(0, 0, 0, cast(id % 2 AS int)) AS _ingested_at",
+            "concat('run-', id % 2) AS _ingestion_run_id")}
+
+    Bronze.spark = spark
+    files = lambda: {str(f) for f in tmp_path.glob("b/*/*/*.parquet")}
+    queries._stored_runs(Bronze, "b", str(tmp_path / "b"), ["run-0"])
+    first = files()
+    runs = queries._stored_runs(Bronze, "b", str(tmp_path / "b"), ["run-0", "run-1"])
+    assert first and first < files()
+    assert sorted(r[0] for r in runs.read().select("id").collect()) == list(range(20))
+    assert runs.latest().where("id % 2 = 1").count() == 10
+    every = files()
+    queries._stored_runs(Bronze, "b", str(tmp_path / "b"), ["run-0", "run-1"])
+    assert files() == every
+
+
+def test_rows_that_stay_in_a_touched_cell_are_kept_beside_the_new_ones(spark, tmp_path):
+    path, cell = str(tmp_path / "cells"), F.concat(F.lit("c"), F.col("id") % 3)
+    rows = spark.range(0, 30, 1, 2).withColumn("v", F.lit("old"))
+    replace_cells(rows, path, cell)
+    new = spark.range(0, 30, 6).withColumn("v", F.lit("new"))
+    touched = {"c0"}
+    kept = read_cells(spark, path, touched).where("id % 6 <> 0")
+    replace_cells(new, path, cell, touched, kept=kept)
+    expected = [(i, "new" if i % 6 == 0 else "old") for i in range(30)]
+    assert sorted(tuple(r) for r in read_cells(spark, path).collect()) == expected
+    assert read_cells(spark, path, {"c0"}).count() == 10
+
+
+def test_stages_that_the_jvm_would_not_compile_run_operator_by_operator(kept_conf):
+    assert int(kept_conf.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
